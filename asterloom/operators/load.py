@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 from typing import NamedTuple
@@ -61,17 +61,24 @@ def new_rows(
     return batch.alias("n").join(known.alias("e"), _same_keys(keys), "left_anti")
 
 
-def _within_range(existing: DataFrame, batch: DataFrame, keys: Sequence[str], bounds) -> DataFrame:
-    """Drop target rows outside the batch's key range; the condition reaches the scan,
+def _ranged(batch: DataFrame, existing: DataFrame, keys: Sequence[str]) -> list[str]:
+    """The keys whose range in the batch can narrow the scan of the target."""
+    return [
+        k
+        for k in keys
+        if isinstance(batch.schema[k].dataType, _RANGE_TYPES)
+        and batch.schema[k].dataType == existing.schema[k].dataType
+    ]
+
+
+def _within_range(existing: DataFrame, ranges: Mapping[str, tuple]) -> DataFrame:
+    """Drop target rows outside the batch's key ranges; the condition reaches the scan,
     which skips row groups by their statistics."""
-    for i, key in enumerate(keys):
-        types = {type(batch.schema[key].dataType), type(existing.schema[key].dataType)}
-        if len(types) == 1 and types <= set(_RANGE_TYPES):
-            low, high = bounds[f"low_{i}"], bounds[f"high_{i}"]
-            inside = named(key).isNull()
-            if low is not None:
-                inside = inside | named(key).between(F.lit(low), F.lit(high))
-            existing = existing.filter(inside)
+    for key, (low, high) in ranges.items():
+        inside = named(key).isNull()
+        if low is not None:
+            inside = inside | named(key).between(F.lit(low), F.lit(high))
+        existing = existing.filter(inside)
     return existing
 
 
@@ -118,14 +125,14 @@ def incremental_append(
         (F.coalesce(F.octet_length(named(k).cast("string")), F.lit(0)) for k in keys),
         F.lit(_ROW_OVERHEAD),
     )
-    bounds = batch.agg(
+    ranged = _ranged(batch, existing, keys)
+    size = batch.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(key_bytes.cast("bigint")), F.lit(0)).alias("key_bytes"),
-        *[F.min(named(k)).alias(f"low_{i}") for i, k in enumerate(keys)],
-        *[F.max(named(k)).alias(f"high_{i}") for i, k in enumerate(keys)],
+        *[F.struct(F.min(named(k)), F.max(named(k))).alias(f"range_{k}") for k in ranged],
     ).first()
 
-    existing = _within_range(existing, batch, keys, bounds)
-    small = bounds["key_bytes"] <= broadcast_key_bytes
+    existing = _within_range(existing, {k: tuple(size[f"range_{k}"]) for k in ranged})
+    small = size["key_bytes"] <= broadcast_key_bytes
     loaded = append_rows(new_rows(batch, existing, keys, small), target)
-    return LoadResult(loaded, bounds["rows"] - loaded)
+    return LoadResult(loaded, size["rows"] - loaded)

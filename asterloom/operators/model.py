@@ -106,12 +106,12 @@ def left_join_children(
     )
 
 
-def _parent_columns(spec: FactSpec) -> list[Column]:
-    return [
-        parse_date(named(spec.date)).alias(spec.date_as),
-        *[to_double(named(c)).alias(c) for c in spec.doubles],
-        *[to_int(named(c), spec.overflow).alias(c) for c in spec.ints],
-    ]
+def _measures(spec: FactSpec) -> dict[str, Column]:
+    return {
+        spec.date_as: parse_date(named(spec.date)),
+        **{c: to_double(named(c)) for c in spec.doubles},
+        **{c: to_int(named(c), spec.overflow) for c in spec.ints},
+    }
 
 
 def build_fact(parent: DataFrame, bridge: DataFrame, spec: FactSpec) -> DataFrame:
@@ -120,14 +120,21 @@ def build_fact(parent: DataFrame, bridge: DataFrame, spec: FactSpec) -> DataFram
     Parents without a category keep one row with a null category; categories unknown to
     the dimension stay.
     """
-    # The parent side is reduced to its final, narrow columns before the join.
-    parent_key = "__asterloom_parent_key"
-    measures = parent.select(named(spec.parent_key).alias(parent_key), *_parent_columns(spec))
+    # The parents are reduced to their final, narrow columns before they are shuffled.
+    # New names keep the projection the same in every branch of the join, which lets
+    # the branches share that shuffle.
+    inner = "__asterloom_{}".format
+    measures = _measures(spec)
+    parents = parent.select(
+        named(spec.parent_key).alias(inner(spec.bridge_key)),
+        *[column.alias(inner(name)) for name, column in measures.items()],
+    )
     children = bridge.select(named(spec.bridge_key), named(spec.category))
-    joined = left_join_children(measures, children, parent_key, spec.bridge_key)
+    joined = left_join_children(parents, children, inner(spec.bridge_key), spec.bridge_key)
     return joined.select(
-        named(parent_key).alias(spec.bridge_key),
-        *[named(c) for c in (spec.category, spec.date_as, *spec.doubles, *spec.ints)],
+        named(inner(spec.bridge_key)).alias(spec.bridge_key),
+        named(spec.category),
+        *[named(inner(name)).alias(name) for name in measures],
     )
 
 
@@ -140,5 +147,5 @@ def build_fact_from_arrays(df: DataFrame, array: str, spec: FactSpec) -> DataFra
     return df.select(
         named(spec.parent_key).alias(spec.bridge_key),
         F.explode_outer(F.array_compact(named(array))).alias(spec.category),
-        *_parent_columns(spec),
+        *[column.alias(name) for name, column in _measures(spec).items()],
     )
