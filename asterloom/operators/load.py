@@ -19,6 +19,9 @@ from asterloom.sources.readers import read_target
 BROADCAST_KEY_BYTES = 64 * 1024 * 1024
 # What a row costs in a broadcast hash table besides its key text, rounded up.
 _ROW_OVERHEAD = 64
+# The target is worth a broadcast if it has at least this many rows per row of the
+# batch. Below, shuffling its keys costs no more than shuffling the batch.
+BROADCAST_TARGET_RATIO = 4
 
 # Key types whose smallest and largest value can be fetched and compared safely. Dates
 # are left out: Spark's reach beyond the years that Python can hold.
@@ -107,6 +110,9 @@ def incremental_append(
     * Otherwise rows with known keys are skipped. Stored rows are never updated, the
       first version seen stays; rows of one batch that share a new key are all loaded.
 
+    The target's keys are shuffled only if the batch's keys take more than
+    ``broadcast_key_bytes`` or the target is hardly larger than the batch.
+
     ``target`` is a Parquet path (with a slash) or a catalog table. The batch is read
     more than once, so pass a stored table. One writer at a time: the append is not
     atomic with the read of the keys.
@@ -114,9 +120,12 @@ def incremental_append(
     spark = batch.sparkSession
     create_if_absent(batch, target)
     existing = read_target(spark, target)
+    target_rows = 0
     if existing is not None:
         batch = _aligned(batch, existing)
-    if existing is None or not keys or existing.isEmpty():
+        # Parquet answers this from its footers.
+        target_rows = existing.count() if keys else 0
+    if not target_rows:
         return LoadResult(append_rows(batch, target), 0)
 
     spelled = {c.lower(): c for c in batch.columns}
@@ -133,6 +142,9 @@ def incremental_append(
     ).first()
 
     existing = _within_range(existing, {k: tuple(size[f"range_{k}"]) for k in ranged})
-    small = size["key_bytes"] <= broadcast_key_bytes
+    small = (
+        size["key_bytes"] <= broadcast_key_bytes
+        and size["rows"] * BROADCAST_TARGET_RATIO <= target_rows
+    )
     loaded = append_rows(new_rows(batch, existing, keys, small), target)
     return LoadResult(loaded, size["rows"] - loaded)

@@ -179,6 +179,7 @@ _BODIES = {
         SELECT r.n AS raw_rows, c.n AS clean_rows, b.n AS bridge_rows, r.n - c.n AS removed_rows
         FROM (SELECT count(*) AS n FROM raw) r, (SELECT count(*) AS n FROM cleaned) c,
              (SELECT count(*) AS n FROM bridge) b""",
+    "json_array_scan": f"SELECT {_RECORD}, genres_text FROM raw",
     "json_round_trip": f"SELECT {_RECORD}, genres_text FROM raw",
     "parquet_round_trip": f"SELECT {_RECORD}, genres_text FROM raw",
     "single_file_round_trip": "SELECT * FROM dates",

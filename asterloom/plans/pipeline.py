@@ -1,12 +1,13 @@
-"""The whole run: land, clean, split, model, load."""
+"""The layers of a run: land, clean and split, model, load."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from asterloom.operators import (
@@ -76,67 +77,86 @@ def _side_by_side(jobs: dict) -> dict:
         return {name: future.result() for name, future in futures.items()}
 
 
-def run_pipeline(
-    records: DataFrame, layout: Layout, model: StarModel, load: bool = True
-) -> PipelineResult:
-    """Run every step on ``records`` (raw, nested) and return the counts.
+def land_layer(records: DataFrame, layout: Layout) -> dict[str, int]:
+    """Replace the raw layer by ``records``; fail if there are none."""
+    return {"raw": write_records(require_non_empty(records, "records"), layout.raw)}
 
-    The cleaned records are written once, nested, as ``records_clean``; that table cuts
-    the lineage. The parent, the bridge, the dimensions and the fact are each one pass
-    over the columns they need of it, without another shuffle of the records.
-    """
-    spark = records.sparkSession
-    tables = model.tables
 
-    raw_rows = write_records(require_non_empty(records, "records"), layout.raw)
+def _nested(layout: Layout) -> str:
+    return f"{layout.processed}/records_clean"
+
 
+def clean_layer(spark: SparkSession, layout: Layout, model: StarModel) -> dict[str, int]:
+    """Replace the processed layer by the cleaned raw layer.
+
+    The cleaned records are written once, nested, as ``records_clean``; that table cuts
+    the lineage. The parent and bridge tables are one pass each over what they need of it.
+    """
     raw = read_records(spark, layout.raw, model.record_schema, multiline=False)
-    nested = f"{layout.processed}/records_clean"
     cleaned = clean(raw, [model.key], model.required, model.trimmed)
-    clean_rows = overwrite_table(cleaned, nested)
+    clean_rows = overwrite_table(cleaned, _nested(layout))
 
-    staged = read_table(spark, nested)
+    staged = read_table(spark, _nested(layout))
     parent, bridge = split_array(
         staged, model.key, model.array, model.parent_key, model.element
     )
-    counts = _side_by_side(
+    tables = {model.tables["parent"]: parent, model.tables["bridge"]: bridge}
+    return {"clean": clean_rows} | _side_by_side(
         {
-            tables["parent"]: lambda: overwrite_table(
-                parent, f"{layout.processed}/{tables['parent']}"
-            ),
-            tables["bridge"]: lambda: overwrite_table(
-                bridge, f"{layout.processed}/{tables['bridge']}"
-            ),
-            tables["static"]: lambda: overwrite_single_file(
-                static_dimension(spark, model.static_rows, model.static_schema),
-                f"{layout.warehouse}/{tables['static']}",
-            ),
-            tables["date"]: lambda: overwrite_single_file(
-                date_dimension(staged, model.date),
-                f"{layout.warehouse}/{tables['date']}",
-            ),
-            tables["entity"]: lambda: overwrite_table(
-                entity_dimension(staged, model.entity),
-                f"{layout.warehouse}/{tables['entity']}",
-            ),
-            tables["fact"]: lambda: overwrite_table(
-                build_fact_from_arrays(staged, model.array, model.fact),
-                f"{layout.warehouse}/{tables['fact']}",
-            ),
+            name: partial(overwrite_table, df, f"{layout.processed}/{name}")
+            for name, df in tables.items()
         }
     )
-    counts = {"raw": raw_rows, "clean": clean_rows, "removed": raw_rows - clean_rows, **counts}
-    if not load:
-        return PipelineResult(counts)
 
-    loads = _side_by_side(
+
+def star_layer(spark: SparkSession, layout: Layout, model: StarModel) -> dict[str, int]:
+    """Replace the warehouse layer; one pass over the processed layer per table.
+
+    The static and the calendar dimension are small by nature and get one file each.
+    The entity dimension and the fact grow with the records and are written in parallel.
+    """
+    staged = read_table(spark, _nested(layout))
+    tables = {
+        "static": static_dimension(spark, model.static_rows, model.static_schema),
+        "date": date_dimension(staged, model.date),
+        "entity": entity_dimension(staged, model.entity),
+        "fact": build_fact_from_arrays(staged, model.array, model.fact),
+    }
+    return _side_by_side(
         {
-            table: lambda table=table, keys=keys: incremental_append(
+            model.tables[role]: partial(
+                overwrite_single_file if role in ("static", "date") else overwrite_table,
+                df,
+                f"{layout.warehouse}/{model.tables[role]}",
+            )
+            for role, df in tables.items()
+        }
+    )
+
+
+def load_layer(
+    spark: SparkSession, layout: Layout, model: StarModel, tables: Sequence[str] | None = None
+) -> dict[str, LoadResult]:
+    """Append what is new in the warehouse tables (all, or those named) to the target."""
+    return _side_by_side(
+        {
+            table: partial(
+                incremental_append,
                 read_table(spark, f"{layout.warehouse}/{table}"),
                 f"{layout.target}/{table}",
-                keys,
+                model.table_keys.get(table, ()),
             )
-            for table, keys in model.table_keys.items()
+            for table in tables or model.table_keys
         }
     )
-    return PipelineResult(counts, loads)
+
+
+def run_pipeline(
+    records: DataFrame, layout: Layout, model: StarModel, load: bool = True
+) -> PipelineResult:
+    """Run every layer on ``records`` (raw, nested), the load only if wanted."""
+    spark = records.sparkSession
+    counts = land_layer(records, layout) | clean_layer(spark, layout, model)
+    counts["removed"] = counts["raw"] - counts["clean"]
+    counts |= star_layer(spark, layout, model)
+    return PipelineResult(counts, load_layer(spark, layout, model) if load else {})

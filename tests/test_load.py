@@ -1,6 +1,6 @@
 import pytest
 
-from asterloom.operators import LoadResult, incremental_append, new_rows
+from asterloom.operators import LoadResult, incremental_append, load, new_rows
 from asterloom.plans import movies as m
 from asterloom.sinks import append_rows, overwrite_table
 from asterloom.sources import read_table, target_keys
@@ -12,7 +12,13 @@ SCHEMA = (
     "movie_id bigint, genre_id bigint, date_id date, popularity double,"
     " vote_average double, vote_count int"
 )
-SIZES = pytest.mark.parametrize("limit", [64 << 20, -1], ids=["broadcast", "shuffled"])
+
+
+@pytest.fixture(params=["broadcast", "shuffled"])
+def limit(request, monkeypatch):
+    """Key bytes up to which a batch is broadcast, however small the target."""
+    monkeypatch.setattr(load, "BROADCAST_TARGET_RATIO", 0)
+    return 64 << 20 if request.param == "broadcast" else -1
 
 
 def facts(spark, *keys, popularity=1.0):
@@ -42,7 +48,6 @@ def test_folder_without_files(spark, target, tmp_path):
     assert incremental_append(facts(spark, (1, 1)), target, KEYS) == (0, 1)
 
 
-@SIZES
 def test_some_new(spark, target, limit):
     append_rows(facts(spark, (1, 1), (2, None)), target)
     batch = facts(spark, (1, 1), (2, None), (3, 2), (3, 2))
@@ -50,7 +55,6 @@ def test_some_new(spark, target, limit):
     assert rows(read_table(spark, target), *KEYS) == [(1, 1), (2, None), (3, 2), (3, 2)]
 
 
-@SIZES
 def test_none_new(spark, target, limit):
     batch = facts(spark, (1, 1), (2, None), (None, None), (3, 2), (3, 2))
     assert incremental_append(batch, target, KEYS, limit) == (5, 0)
@@ -58,7 +62,6 @@ def test_none_new(spark, target, limit):
     assert read_table(spark, target).count() == 5
 
 
-@SIZES
 def test_stored_rows_are_never_updated(spark, target, limit):
     append_rows(facts(spark, (1, 1), popularity=5.0), target)
     batch = facts(spark, (1, 1), popularity=9.0)
@@ -73,7 +76,6 @@ def test_no_key_appends_everything(spark, target):
     assert read_table(spark, target).count() == 4
 
 
-@SIZES
 @pytest.mark.parametrize("batch_keys", [
     [(None, None)], [(5, None), (6, None)], [(None, 7)], [(-3, 7), (9, 1)], [],
 ])
@@ -92,7 +94,6 @@ def dated(spark, *data):
     )
 
 
-@SIZES
 def test_text_and_date_keys(spark, target, limit):
     """Dates include some that Python cannot hold."""
     append_rows(dated(spark, ("a", "2024"), ("b", None), (None, "20240-01-01")), target)
@@ -149,3 +150,19 @@ def test_new_rows_of_frames_with_common_origin(spark, small):
     batch = facts(spark, (1, 1), (2, None), (3, 3), (3, 3))
     existing = batch.filter("movie_id < 3")
     assert rows(new_rows(batch, existing, KEYS, small), *KEYS) == [(3, 3), (3, 3)]
+
+
+@pytest.mark.parametrize("rows_there, limit, small", [
+    (3, 64 << 20, False), (4, 64 << 20, True), (400, 64 << 20, True), (400, 64, False),
+])
+def test_when_the_batch_is_broadcast(spark, target, monkeypatch, rows_there, limit, small):
+    seen = []
+
+    def spy(batch, existing, keys, small):
+        seen.append(small)
+        return new_rows(batch, existing, keys, small)
+
+    monkeypatch.setattr(load, "new_rows", spy)
+    append_rows(facts(spark, *[(i, i) for i in range(rows_there)]), target)
+    assert incremental_append(facts(spark, (-1, -1)), target, KEYS, limit) == (1, 0)
+    assert seen == [small]
