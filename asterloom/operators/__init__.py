@@ -4,6 +4,7 @@ from asterloom.operators.clean import (
     clean,
     drop_column,
     keep_one,
+    map_columns,
     require_columns,
     split_array,
     trim_columns,
@@ -43,6 +44,7 @@ __all__ = [
     "incremental_append",
     "keep_one",
     "left_join_children",
+    "map_columns",
     "metrics_row",
     "new_rows",
     "orphans",

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,9 +52,16 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.filter(reduce(and_, [named(c).isNotNull() for c in columns]))
 
 
+def map_columns(
+    df: DataFrame, columns: Sequence[str], function: Callable[[Column], Column]
+) -> DataFrame:
+    """Replace each named column by a function of it, all in one projection."""
+    return df.withColumns({c: function(named(c)) for c in columns})
+
+
 def trim_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Trim the named text columns, all in one projection."""
-    return df.withColumns({c: trimmed(named(c)) for c in columns})
+    """Trim the named text columns."""
+    return map_columns(df, columns, trimmed)
 
 
 def drop_column(df: DataFrame, column: str) -> DataFrame:

@@ -10,7 +10,7 @@ TESTDATA = "/root/testdata"
 def spark(tmp_path_factory):
     base = tmp_path_factory.mktemp("spark")
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[8,3]")
         .appName("asterloom-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
