@@ -82,8 +82,8 @@ def clean(
     then keeping one copy gives just that, and lets the filter reach the scan and
     shrink the shuffle. Blank text counts as present: it is trimmed after the filter.
     """
-    present = require_columns(df, [*required, *(k for k in key if k not in required)])
-    return trim_columns(keep_one(present, key, tie_break=tie_break), trim)
+    complete = require_columns(df, required)
+    return trim_columns(keep_one(complete, key, tie_break=tie_break), trim)
 
 
 def split_array(

@@ -90,7 +90,9 @@ def _aligned(batch: DataFrame, target: DataFrame) -> DataFrame:
     mine = {f.name.lower(): f for f in batch.schema}
     theirs = {f.name.lower(): f for f in target.schema}
     wrong = sorted(mine.keys() ^ theirs.keys()) + [
-        n for n in theirs if n in mine and mine[n].dataType != theirs[n].dataType
+        name
+        for name, field in theirs.items()
+        if name in mine and mine[name].dataType.simpleString() != field.dataType.simpleString()
     ]
     if wrong:
         raise ValueError(f"batch and target differ in columns: {', '.join(wrong)}")

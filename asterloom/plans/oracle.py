@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from asterloom.plans.movies import GENRES
-from asterloom.plans.queries import IMAGE_BASE, LOADED_BEFORE
+from asterloom.plans.queries import IMAGE_BASE, LOADED_BEFORE, PAGE_WINDOWS
 from asterloom.plans.testdata import GENRE_SLOTS
 
 _SLOT_CASES = " ".join(
@@ -141,10 +141,7 @@ _BODIES = {
         " WHERE genre_id IS NOT NULL AND genre_id NOT IN (SELECT genre_id FROM genre)"
         " GROUP BY genre_id"
     ),
-    "page_window_release_date": _window("primary_release_date.desc", 40, 100),
-    "page_window_vote_average": _window("vote_average.desc", 20, 80),
-    "page_window_popularity": _window("popularity.desc", 0, 200),
-    "page_window_title": _window("original_title.asc", 120, 60),
+    **{f"page_window_{name}": _window(order, 40, 100) for name, order in PAGE_WINDOWS.items()},
     "page_window_wrapped": (
         f"{_window('popularity.desc', 160, 40)} UNION ALL {_window('popularity.desc', 0, 40)}"
     ),

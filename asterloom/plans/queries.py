@@ -34,6 +34,7 @@ from asterloom.plans.movies import (
     GENRE_SCHEMA,
     GENRES,
     KEY,
+    PAGE_ORDERS,
     PARENT_KEY,
     RECORD_SCHEMA,
     REQUIRED,
@@ -68,6 +69,9 @@ IMAGE_BASE = "https://images.example.org/w500"
 FACT_KEYS = TABLE_KEYS["fact_movie_metrics"]
 # In the load queries, what came out before this day is in the warehouse already.
 LOADED_BEFORE = "1998-01-01"
+# The four orders by the name of their query, and the pages shown: first and number.
+PAGE_WINDOWS = dict(zip(("release_date", "vote_average", "popularity", "title"), PAGE_ORDERS))
+PAGES = (3, 5)
 
 
 # --- shared parts -----------------------------------------------------------------
@@ -219,8 +223,8 @@ def _catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def window_of(order: str, start: int, pages: int, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return page_window(_catalogue(spark, sf_dir), order, KEY, start, pages)
+def window_of(order: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_window(_catalogue(spark, sf_dir), order, KEY, *PAGES)
 
 
 def page_window_wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -493,10 +497,7 @@ QUERIES: dict[str, Query] = {
     "left_join": left_join,
     "casts": casts,
     "orphan_categories": orphan_categories,
-    "page_window_release_date": partial(window_of, "primary_release_date.desc", 3, 5),
-    "page_window_vote_average": partial(window_of, "vote_average.desc", 2, 4),
-    "page_window_popularity": partial(window_of, "popularity.desc", 1, 10),
-    "page_window_title": partial(window_of, "original_title.asc", 7, 3),
+    **{f"page_window_{name}": partial(window_of, order) for name, order in PAGE_WINDOWS.items()},
     "page_window_wrapped": page_window_wrapped,
     "union_pages": union_pages,
     "flatten_pages": flatten_pages_query,
