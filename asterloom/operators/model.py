@@ -81,8 +81,8 @@ def left_join_children(
 ) -> DataFrame:
     """``parent LEFT JOIN child``: 1:N, parents without a child give one row of nulls.
 
-    ``parent`` has one row per key; ``child`` may hold any share of its rows under one
-    key. A left join can split a hot partition of its left side only, which does not
+    The two frames share no column name. ``child`` may hold any share of its rows under
+    one key. A left join can split a hot partition of its left side only, which does not
     help here. So matches come from an inner join, of which adaptive execution splits
     either side, and the other parents from an anti join against the distinct child
     keys, which are reduced before their shuffle. Both joins read the same shuffle of

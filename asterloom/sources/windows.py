@@ -22,8 +22,12 @@ def page_window(
 
     ``sort`` is ``<column>.asc`` or ``<column>.desc``. Nulls come last and ties are
     broken by ``key``, so a page always holds the same rows. Pages past ``last_page``
-    wrap around to page 1. Each part is a top-k (``TakeOrderedAndProject``): a task
-    keeps no more than ``last_page * page_size`` rows and nothing is sorted globally.
+    wrap around to page 1.
+
+    Each part is a top-k (``TakeOrderedAndProject``): nothing is sorted globally, and a
+    task passes on no more rows than the window reaches down, at most
+    ``last_page * page_size``. One last task merges these, so project ``df`` to the
+    columns wanted and keep ``last_page`` to what is really paged through.
     """
     column, _, direction = sort.rpartition(".")
     if not column or direction not in ("asc", "desc"):

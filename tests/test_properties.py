@@ -11,6 +11,7 @@ from asterloom.operators import (
     build_fact_from_arrays,
     clean,
     incremental_append,
+    left_join_children,
     load,
     split_array,
 )
@@ -72,3 +73,20 @@ def test_incremental_append(spark, stored, batch, small):
     assert result == (len(fresh), len(batch) - len(fresh))
     after = Counter(map(tuple, read_table(spark, target).collect()))
     assert after == Counter(stored) + Counter(fresh)
+
+
+@few
+@given(keys, keys)
+def test_left_join_children(spark, parents, children):
+    """Null and repeated keys on both sides."""
+    joined = left_join_children(
+        spark.createDataFrame(parents, "p bigint, x bigint"),
+        spark.createDataFrame(children, "c bigint, y bigint"),
+        "p",
+        "c",
+    )
+    expected = Counter()
+    for key, x in parents:
+        found = [row for row in children if key is not None and row[0] == key]
+        expected.update((key, x, *row) for row in found or [(None, None)])
+    assert Counter(map(tuple, joined.collect())) == expected
