@@ -180,7 +180,7 @@ _BODIES = {
     "json_round_trip": f"SELECT {_RECORD}, genres_text FROM raw",
     "parquet_round_trip": f"SELECT {_RECORD}, genres_text FROM raw",
     "single_file_round_trip": "SELECT * FROM dates",
-    "pipeline": "SELECT * FROM fact",
+    "star_pipeline": "SELECT * FROM fact",
     "pipeline_counts": " UNION ALL ".join(
         f"SELECT CAST({run} AS INTEGER) AS run, '{name}' AS table_name,"
         f" {loaded} AS loaded, {skipped} AS skipped"

@@ -515,7 +515,7 @@ QUERIES: dict[str, Query] = {
     "json_round_trip": json_round_trip,
     "parquet_round_trip": parquet_round_trip,
     "single_file_round_trip": single_file_round_trip,
-    "pipeline": pipeline,
+    "star_pipeline": pipeline,
     "pipeline_counts": pipeline_counts,
     "metrics_by_category": metrics_by_category,
     "metrics_by_month": metrics_by_month,

@@ -32,7 +32,7 @@ HEADLINE = [
     "flatten_pages",
     "quality_counts",
     "json_round_trip",
-    "pipeline",
+    "star_pipeline",
     "metrics_by_category",
     "metrics_by_month",
     "top_entities",
