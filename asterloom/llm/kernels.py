@@ -96,11 +96,11 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def covered(n: int, starts: np.ndarray, width: int) -> np.ndarray:
-    """Which of n positions lie in a range of ``width`` from one of the starts."""
-    edge = np.zeros(n + 1, np.int32)
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, np.minimum(starts + width, n), -1)
-    return np.cumsum(edge[:n]) > 0
+    """Which of n positions lie in a range of ``width`` from one of the starts, each given once."""
+    edge = np.zeros(n + 1, np.int8)
+    edge[starts] += 1
+    edge[starts + width] -= 1
+    return np.cumsum(edge[:n], dtype=np.int32) > 0
 
 
 def sums_between(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from asterloom.llm.oracle import ORACLE_SQL  # noqa: F401
 from asterloom.llm.substring_dedup import remove_repeated_windows
+from asterloom.llm.suffix_dedup import remove_earlier_strings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -20,6 +21,18 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_earlier_strings(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return out.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_substring_dedup": op4_substring_dedup,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
 }
