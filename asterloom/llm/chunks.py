@@ -46,7 +46,12 @@ def by_position(df: DataFrame) -> tuple[DataFrame, list[str]]:
     return df.toDF(*[f"c{i}" for i in range(len(names))]), names
 
 
-def write_chunks(docs: DataFrame, text: str, size: int = CHUNK_BYTES) -> DataFrame:
+def write_chunks(docs: DataFrame, text: str) -> DataFrame:
+    """The chunks of the documents, written: the same chunks for each pass over them."""
+    return stage(chunked(docs, text), "chunks")
+
+
+def chunked(docs: DataFrame, text: str, size: int = CHUNK_BYTES) -> DataFrame:
     """``(chunk, rows, lengths, text)``: chunks of about ``size`` bytes of whole documents.
 
     ``rows`` has the documents' other columns, ``lengths`` the bytes of each text (null text:
@@ -104,7 +109,7 @@ def write_chunks(docs: DataFrame, text: str, size: int = CHUNK_BYTES) -> DataFra
                 at = to
         yield from flush()
 
-    return stage(packed.mapInArrow(pack, schema), "chunks")
+    return packed.mapInArrow(pack, schema)
 
 
 class Chunk:

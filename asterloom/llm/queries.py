@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from asterloom.llm.decontaminate import find_benchmark
 from asterloom.llm.oracle import ORACLE_SQL  # noqa: F401
 from asterloom.llm.substring_dedup import remove_repeated_windows
 from asterloom.llm.suffix_dedup import remove_earlier_strings
@@ -21,6 +22,19 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op7_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    out = find_benchmark(docs, _table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return out.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_earlier_strings(_table(spark, sf_dir, "documents", "doc_id", "text"))
     return out.select(
@@ -34,5 +48,6 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_substring_dedup": op4_substring_dedup,
+    "op7_fm_index_decontamination": op7_fm_index_decontamination,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
 }

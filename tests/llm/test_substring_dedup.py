@@ -38,7 +38,7 @@ def test_same_as_brute_force(spark, seed, width):
 def test_many_chunks(spark, monkeypatch):
     from asterloom.llm import chunks
 
-    monkeypatch.setattr(chunks.write_chunks, "__defaults__", (300,))
+    monkeypatch.setattr(chunks.chunked, "__defaults__", (300,))
     rows = prose(4) + EDGES
     assert found(remove_repeated_windows(documents(spark, rows), width=8)) == brute(rows, 8)
 

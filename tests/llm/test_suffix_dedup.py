@@ -39,7 +39,7 @@ def test_same_as_brute_force(spark, seed, width):
 def test_many_chunks(spark, monkeypatch):
     from asterloom.llm import chunks
 
-    monkeypatch.setattr(chunks.write_chunks, "__defaults__", (400,))
+    monkeypatch.setattr(chunks.chunked, "__defaults__", (400,))
     rows = prose(4, 80) + EDGES
     assert found(s.remove_earlier_strings(documents(spark, rows), width=24)) == brute(rows, 24)
 
