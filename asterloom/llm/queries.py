@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from asterloom.llm.decontaminate import find_benchmark
 from asterloom.llm.oracle import ORACLE_SQL  # noqa: F401
+from asterloom.llm.simhash import near_duplicates
 from asterloom.llm.substring_dedup import remove_repeated_windows
 from asterloom.llm.suffix_dedup import remove_earlier_strings
 
@@ -22,6 +23,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     out = find_benchmark(docs, _table(spark, sf_dir, "benchmark", "item_id", "text"))
@@ -48,6 +53,7 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_fm_index_decontamination": op7_fm_index_decontamination,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
 }
