@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from asterloom.llm.decontaminate import find_benchmark
 from asterloom.llm.oracle import ORACLE_SQL  # noqa: F401
+from asterloom.llm.packing import pack
 from asterloom.llm.simhash import near_duplicates
 from asterloom.llm.substring_dedup import remove_repeated_windows
 from asterloom.llm.suffix_dedup import remove_earlier_strings
@@ -18,6 +19,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def op2_concat_and_cut_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pack(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return out.select(
+        "doc_id", "start", "length", F.crc32("tokens").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeated_windows(_table(spark, sf_dir, "documents", "doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -52,6 +60,7 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_concat_and_cut_packing": op2_concat_and_cut_packing,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_fm_index_decontamination": op7_fm_index_decontamination,
