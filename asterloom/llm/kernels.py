@@ -58,10 +58,10 @@ class Rolling:
 
 
 def flatten(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The UTF-8 bytes of a string array in one array, and where each text begins and ends."""
-    texts = texts.fill_null("").cast(pa.large_string())
+    """The bytes of a string or binary array in one array, and where each text begins and ends."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     if len(texts) == 0 or texts.buffers()[2] is None:
         return np.zeros(0, np.uint8), np.zeros(len(texts) + 1, np.int64)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asterloom.llm.decontaminate import find_benchmark
+from asterloom.llm.digest import edited_fingerprints
 from asterloom.llm.oracle import ORACLE_SQL  # noqa: F401
 from asterloom.llm.packing import pack
 from asterloom.llm.simhash import near_duplicates
@@ -59,10 +60,15 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_concat_and_cut_packing": op2_concat_and_cut_packing,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_fm_index_decontamination": op7_fm_index_decontamination,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
+    "op9_quartile_digest": op9_quartile_digest,
 }
