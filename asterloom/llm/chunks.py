@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,8 +18,13 @@ from asterloom.llm import kernels as k
 from asterloom.sinks.scratch import new_scratch_dir
 
 CHUNK_BYTES = 4 << 20
-#: Characters that one batch from Spark may hold before Python sees it.
-BATCH_BYTES = 8 << 20
+#: Documents that Spark hands to Python at a time; its default of 10,000 takes too much memory.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Set the session's Arrow batches to a size that suits rows with whole documents."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
 def stage(df: DataFrame, purpose: str) -> DataFrame:

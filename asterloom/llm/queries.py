@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from asterloom.llm.chunks import small_batches
 from asterloom.llm.decontaminate import find_benchmark
 from asterloom.llm.digest import edited_fingerprints
 from asterloom.llm.oracle import ORACLE_SQL  # noqa: F401
@@ -17,6 +18,7 @@ from asterloom.llm.suffix_dedup import remove_earlier_strings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 

@@ -17,9 +17,9 @@ SHINGLE_WORDS = 3
 RADIUS = 2
 SEED = 42
 #: Fingerprints of a tile, about.
-TILE = 4096
+TILE = 2048
 #: Shingle hashes whose bits are held at a time.
-HASHES = 1 << 18
+HASHES = 1 << 16
 
 
 def shingle_hashes(text: bytes, words: int) -> list[int]:
@@ -51,25 +51,26 @@ def majority(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, text: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
-    """The documents with a last column ``fingerprint`` (the 64 bits as a long)."""
+    """The documents with ``fingerprint`` (the 64 bits as a long) in place of the text."""
     frame, names = by_position(docs)
     here = names.index(text)
-    fields = [*frame.schema.fields, T.StructField("fingerprint", T.LongType())]
+    keep = [j for j in range(len(names)) if j != here]
+    fields = [*[frame.schema.fields[j] for j in keep], T.StructField("fingerprint", T.LongType())]
     out = arrow_schema(fields)
 
     def run(batches):
         for whole in batches:
-            for at in range(0, len(whole), 256):
-                batch = whole.slice(at, 256)
+            for at in range(0, len(whole), 64):
+                batch = whole.slice(at, 64)
                 hashes, counts = [], [0]
                 for value in batch.column(here):
                     own = shingle_hashes(value.as_buffer().to_pybytes(), words) if value.is_valid else []
                     hashes.append(np.array(own, k.U))
                     counts.append(len(own))
                 found = majority(np.concatenate(hashes), np.cumsum(counts)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], schema=out)
+                yield pa.RecordBatch.from_arrays([*[batch.column(j) for j in keep], pa.array(found)], schema=out)
 
-    return frame.mapInArrow(run, T.StructType(fields)).toDF(*names, "fingerprint")
+    return frame.mapInArrow(run, T.StructType(fields)).toDF(*[names[j] for j in keep], "fingerprint")
 
 
 def _populations(fingerprint: Column, blocks: int) -> list[Column]:
@@ -169,7 +170,7 @@ def near_duplicates(
     frame, names = by_position(docs)
     keep = [j for j, n in enumerate(names) if n != text]
     prints = fingerprints(frame, f"c{names.index(text)}", words)
-    prints = stage(prints.select(*[f"c{j}" for j in keep], "fingerprint"), "fingerprints")
+    prints = stage(prints, "fingerprints")
     key_column = f"c{names.index(key)}"
     distinct = stage(prints.groupBy("fingerprint").agg(F.min(key_column).alias("least")), "distinct")
     found = stage(components(stage(links(distinct, radius), "links")), "components")
