@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from asterloom.llm.chunks import small_batches
 from asterloom.llm.decontaminate import find_benchmark
 from asterloom.llm.digest import edited_fingerprints
+from asterloom.llm.html_text import extract_text
 from asterloom.llm.oracle import ORACLE_SQL  # noqa: F401
 from asterloom.llm.packing import pack
 from asterloom.llm.simhash import near_duplicates
@@ -66,6 +67,10 @@ def op9_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op10_tag_path_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_concat_and_cut_packing": op2_concat_and_cut_packing,
     "op4_substring_dedup": op4_substring_dedup,
@@ -73,4 +78,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_fm_index_decontamination": op7_fm_index_decontamination,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_quartile_digest": op9_quartile_digest,
+    "op10_tag_path_extraction": op10_tag_path_extraction,
 }
