@@ -16,6 +16,7 @@ from asterloom.llm.packing import pack
 from asterloom.llm.simhash import near_duplicates
 from asterloom.llm.substring_dedup import remove_repeated_windows
 from asterloom.llm.suffix_dedup import remove_earlier_strings
+from asterloom.llm.warc import archive_pages
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -30,6 +31,11 @@ def op2_concat_and_cut_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = archive_pages(_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeated_windows(_table(spark, sf_dir, "documents", "doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -73,6 +79,7 @@ def op10_tag_path_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_concat_and_cut_packing": op2_concat_and_cut_packing,
+    "op3_warc_capture_index": op3_warc_capture_index,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_fm_index_decontamination": op7_fm_index_decontamination,
