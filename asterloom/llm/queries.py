@@ -11,6 +11,7 @@ from asterloom.llm.chunks import small_batches
 from asterloom.llm.decontaminate import find_benchmark
 from asterloom.llm.digest import edited_fingerprints
 from asterloom.llm.html_text import extract_text
+from asterloom.llm.language import held_out, identify, learn
 from asterloom.llm.oracle import ORACLE_SQL  # noqa: F401
 from asterloom.llm.packing import pack
 from asterloom.llm.simhash import near_duplicates
@@ -24,6 +25,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def op1_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    found = identify(docs.select("doc_id", "text"), learn(docs))
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op2_concat_and_cut_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pack(_table(spark, sf_dir, "documents", "doc_id", "text"))
     return out.select(
@@ -78,6 +85,7 @@ def op10_tag_path_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_byte_cnn_language": op1_byte_cnn_language,
     "op2_concat_and_cut_packing": op2_concat_and_cut_packing,
     "op3_warc_capture_index": op3_warc_capture_index,
     "op4_substring_dedup": op4_substring_dedup,
