@@ -1,6 +1,6 @@
 """WARC archives of pages, and an index of their captures in the order of URL key and time.
 
-Archives are uncompressed WARC 1.1 files that Spark writes and reads back in splits. The index is
+Archives are WARC 1.1 files, each one gzip stream, that Spark writes and reads back. The index is
 an external merge: captures are sorted in runs where they are read, the runs are dealt by ranges
 of the key, and a loser tree merges the runs of each range.
 """
@@ -23,6 +23,9 @@ REVISIT_BYTES = 100
 EPOCH = "2024-01-01 00:00:00"
 CRLF = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Records of an archive file at most. A file is read by one task: line readers can lose a record
+#: where a split ends in a separator of several bytes.
+FILE_RECORDS = 50_000
 #: Captures of a sorted run.
 RUN_ROWS = 20_000
 
@@ -51,9 +54,17 @@ def _header(name: str, value) -> Column:
     return F.concat(F.lit(f"{name}: "), value, F.lit(CRLF))
 
 
-def first_captures(pages: DataFrame, key: str, least: int = REVISIT_BYTES) -> DataFrame:
-    """``(digest, first)``: the smallest key of each payload of at least ``least`` bytes."""
-    return pages.filter(F.col("payload_bytes") >= least).groupBy("digest").agg(F.min(key).alias("first"))
+def repeats(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
+    """``(key, digest, first)``: the pages that repeat a payload, and the smallest key that has it.
+
+    Only keys and digests are shuffled. The smallest keys come from partial minima, and the join
+    can be split where one payload has very many pages.
+    """
+    large = pages.filter(F.col("payload_bytes") >= least).select("key", "digest")
+    first = large.groupBy("digest").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n"))
+    first = first.filter("n > 1 AND first IS NOT NULL").select(F.col("digest").alias("same"), "first")
+    found = large.join(first, F.col("digest") == F.col("same"))
+    return found.filter(F.col("key").isNull() | (F.col("key") != F.col("first"))).select("key", "digest", "first").distinct()
 
 
 def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html", captured: Column | None = None) -> Archives:
@@ -65,8 +76,8 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
     in urls are percent-encoded; a null url is written as an empty target. ``captured`` is the
     capture time, by default one second per key after the start of 2024.
 
-    Equal payloads meet by digest only: the smallest key of each is found by partial minima and
-    joined back, and the join can be split where one payload has very many pages.
+    Which pages repeat a payload is written first, so that the payloads themselves are shuffled
+    only if the list of repeats is too large to be sent to all tasks.
     """
     if captured is None:
         captured = F.timestamp_seconds(F.unix_timestamp(F.lit(EPOCH)) + F.coalesce(F.col(f"`{key}`"), F.lit(0)))
@@ -79,13 +90,12 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
         target.alias("target"),
         payload.alias("payload"),
         F.octet_length(payload).cast("long").alias("payload_bytes"),
-        F.sha2(payload, 256).alias("digest"),
+        F.sha2(F.encode(payload, "utf-8"), 256).alias("digest"),
         F.date_format(captured, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("time"),
     )
-    first = first_captures(rows, "key").withColumnRenamed("digest", "same")
-    large = F.col("payload_bytes") >= REVISIT_BYTES
-    joined = rows.join(first, F.when(large, F.col("digest")) == F.col("same"), "left")
-    revisit = F.col("first").isNotNull() & F.coalesce(F.col("key") != F.col("first"), F.lit(True))
+    again = stage(repeats(rows), "repeats").toDF("repeat_key", "repeat_digest", "first")
+    joined = rows.join(again, F.col("key").eqNullSafe(F.col("repeat_key")) & (F.col("digest") == F.col("repeat_digest")), "left")
+    revisit = F.col("first").isNotNull()
     http = F.concat(
         F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}"),
         _header("Content-Length", F.col("payload_bytes")),
@@ -115,14 +125,15 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
         F.lit(CRLF),
         block,
     )
-    joined.select(record.alias("value")).write.option("lineSep", CRLF * 2).text(path)
+    out = joined.select(record.alias("value")).write.option("lineSep", CRLF * 2)
+    out.option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
     return archives
 
 
 def read_archives(spark: SparkSession, archives: Archives) -> DataFrame:
     """The records of archives: type, key, url, time, digest, length, reference and payload.
 
-    Files are read in splits at the openings of records, which no payload holds. The length of
+    Files are cut at the openings of records, which no payload holds. The length of
     each block is checked against its header, and the payload of each response against its digest;
     a record that fails is an error.
     """
