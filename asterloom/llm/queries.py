@@ -12,6 +12,7 @@ from asterloom.llm.decontaminate import find_benchmark
 from asterloom.llm.digest import edited_fingerprints
 from asterloom.llm.html_text import extract_text
 from asterloom.llm.language import held_out, identify, learn
+from asterloom.llm import toxicity
 from asterloom.llm.oracle import ORACLE_SQL  # noqa: F401
 from asterloom.llm.packing import pack
 from asterloom.llm.simhash import near_duplicates
@@ -52,6 +53,16 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+#: The label columns and the values that mean yes, in the order of the chain.
+CATEGORIES = {"low_quality": ("quality", 0), "toxic": ("toxic", 1)}
+
+
+def op6_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = _table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
+    return toxicity.classify(docs, toxicity.learn(docs, labels, CATEGORIES), list(CATEGORIES))
+
+
 def op7_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     out = find_benchmark(docs, _table(spark, sf_dir, "benchmark", "item_id", "text"))
@@ -90,6 +101,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc_capture_index": op3_warc_capture_index,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_toxicity_chain": op6_toxicity_chain,
     "op7_fm_index_decontamination": op7_fm_index_decontamination,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_quartile_digest": op9_quartile_digest,
