@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -117,6 +118,12 @@ def chunked(docs: DataFrame, text: str, size: int = CHUNK_BYTES) -> DataFrame:
     return packed.mapInArrow(pack, schema)
 
 
+def binary_array(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """An array with the bytes between neighbouring offsets."""
+    buffers = [None, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, buffers)
+
+
 class Chunk:
     """One row of the chunk table as arrays."""
 
@@ -132,6 +139,11 @@ class Chunk:
     def text(self, i: int) -> bytes:
         return self.data[self.offsets[i] : self.offsets[i + 1]].tobytes()
 
+    def texts(self) -> pa.Array:
+        """The texts as they came, null where they were null."""
+        whole = binary_array(self.data, self.offsets).cast(pa.large_string())
+        return pa.compute.if_else(self.lengths.is_valid(), whole, None)
+
     def keys(self, name: str) -> np.ndarray:
         """An integer column; null counts as the smallest value."""
         column = self.rows.field(name).cast(pa.int64())

@@ -235,6 +235,7 @@ def find_benchmark(
     item_text: str = "text",
     width: int = WINDOW_WORDS,
     pass_words: int = PASS_WORDS,
+    keep_text: bool = False,
 ) -> DataFrame:
     """The documents with what they share with the items of a benchmark.
 
@@ -243,7 +244,8 @@ def find_benchmark(
     window, one of none has none. Added columns: ``n_words``, ``n_hit`` (words inside any
     occurrence of a window), ``spans`` (merged, ``[first, end)`` in words), ``item_ids`` (as
     strings, sorted) and ``contaminated``: at least a twentieth of the words are hit. Null texts
-    have no words, null item ids are skipped in ``item_ids``; repeated rows are documents of their own;
+    have no words, null item ids are skipped in ``item_ids``; the text itself is the first of the
+    added columns with ``keep_text``, else it is left out; repeated rows are documents of their own;
     empty tables give no hits or no rows.
 
     The items are a stated query set. They are taken to the tasks in passes of at most about
@@ -284,5 +286,9 @@ def find_benchmark(
         T.StructField("item_ids", T.ArrayType(T.StringType())),
         T.StructField("contaminated", T.BooleanType()),
     ]
-    out = c.unpack(chunks, process, added)
+    if keep_text:
+        added = [T.StructField(text, T.StringType()), *added]
+        out = c.unpack(chunks, lambda chunk, batch, i: [chunk.texts(), *process(chunk, batch, i)], added)
+    else:
+        out = c.unpack(chunks, process, added)
     return out.toDF(*[n for n in names if n != text], *[f.name for f in added])

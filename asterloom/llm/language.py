@@ -223,8 +223,8 @@ def predict(network: Network | None, texts: pa.Array) -> tuple[list[str], np.nda
     return languages, score
 
 
-def identify(docs: DataFrame, network: Network | None, text: str = "text") -> DataFrame:
-    """The documents with ``lang_pred`` and ``score`` in place of the text.
+def identify(docs: DataFrame, network: Network | None, text: str = "text", keep_text: bool = False) -> DataFrame:
+    """The documents with ``lang_pred`` and ``score`` in place of the text, or beside it.
 
     Every byte of the text is looked at. Null texts and texts without any letter are ``und`` with
     score 0, as are all texts if there was nothing to learn from. Repeated rows stay; an empty
@@ -232,7 +232,7 @@ def identify(docs: DataFrame, network: Network | None, text: str = "text") -> Da
     """
     frame, names = by_position(docs)
     here = names.index(text)
-    keep = [j for j in range(len(names)) if j != here]
+    keep = [j for j in range(len(names)) if keep_text or j != here]
     fields = [*[frame.schema.fields[j] for j in keep], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     out = arrow_schema(fields)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,11 +50,11 @@ def majority(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.packbits(2 * ones > counts[:, None], axis=1).view(">u8").astype(k.U).ravel()
 
 
-def fingerprints(docs: DataFrame, text: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
-    """The documents with ``fingerprint`` (the 64 bits as a long) in place of the text."""
+def fingerprints(docs: DataFrame, text: str = "text", words: int = SHINGLE_WORDS, keep_text: bool = False) -> DataFrame:
+    """The documents with ``fingerprint`` (the 64 bits as a long) in place of the text, or beside it."""
     frame, names = by_position(docs)
     here = names.index(text)
-    keep = [j for j in range(len(names)) if j != here]
+    keep = [j for j in range(len(names)) if keep_text or j != here]
     fields = [*[frame.schema.fields[j] for j in keep], T.StructField("fingerprint", T.LongType())]
     out = arrow_schema(fields)
 
@@ -154,6 +154,18 @@ def links(distinct: DataFrame, radius: int = RADIUS, blocks: int = 4, tile: int
     return pairs.select("prints", "other").mapInArrow(compare, "a long, b long")
 
 
+def _grouped(frame: DataFrame, key: str, text: str, words: int, radius: int, keep_text: bool) -> DataFrame:
+    """The frame with ``fingerprint``, ``root`` (a fingerprint, for each component) and ``component_id``."""
+    prints = stage(fingerprints(frame, text, words, keep_text), "fingerprints")
+    distinct = stage(prints.groupBy("fingerprint").agg(F.min(key).alias("least")), "distinct")
+    found = stage(components(stage(links(distinct, radius), "links")), "components")
+    roots = distinct.join(found, distinct.fingerprint == found.node, "left")
+    roots = roots.select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
+    smallest = roots.groupBy("root").agg(F.min("least").alias("component_id"))
+    group = stage(roots.join(smallest, "root").select("fingerprint", "root", "component_id"), "groups")
+    return prints.join(group, "fingerprint")
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, radius: int = RADIUS
 ) -> DataFrame:
@@ -169,16 +181,22 @@ def near_duplicates(
     """
     frame, names = by_position(docs)
     keep = [j for j, n in enumerate(names) if n != text]
-    prints = fingerprints(frame, f"c{names.index(text)}", words)
-    prints = stage(prints, "fingerprints")
-    key_column = f"c{names.index(key)}"
-    distinct = stage(prints.groupBy("fingerprint").agg(F.min(key_column).alias("least")), "distinct")
-    found = stage(components(stage(links(distinct, radius), "links")), "components")
-    roots = distinct.join(found, distinct.fingerprint == found.node, "left")
-    roots = roots.select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
-    smallest = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    group = roots.join(smallest, "root").select("fingerprint", "component_id")
-    out = prints.join(group, "fingerprint")
+    out = _grouped(frame, f"c{names.index(key)}", f"c{names.index(text)}", words, radius, False)
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint")
     out = out.select(*[f"c{j}" for j in keep], digits, "component_id")
     return out.toDF(*[names[j] for j in keep], "fingerprint", "component_id")
+
+
+def first_of_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
+    """One document of each component of ``near_duplicates``: that with the smallest key.
+
+    Null keys come last, and ties are broken by fingerprint and text; of repeated rows one stays.
+    The columns are those of the input. A task sends on at most one document per component, so
+    large components cost what small ones do.
+    """
+    frame, names = by_position(docs)
+    k_, t_ = f"c{names.index(key)}", f"c{names.index(text)}"
+    out = _grouped(frame, k_, t_, words, radius, True)
+    order = Window.partitionBy("root").orderBy(F.col(k_).asc_nulls_last(), "fingerprint", t_)
+    out = out.withColumn("place", F.row_number().over(order)).filter("place = 1")
+    return out.select(*frame.columns).toDF(*names)

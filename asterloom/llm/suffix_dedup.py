@@ -234,15 +234,28 @@ def first_documents(text: np.ndarray, lengths: np.ndarray, ids: np.ndarray, widt
     return owner[a], a - first_window[owner[a]], b - a, found[a]
 
 
+def without_torn_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """What is gone, and the other bytes of characters of which a part is gone."""
+    if len(data) == 0:
+        return gone
+    begins = np.flatnonzero((data & 0xC0) != 0x80)
+    return np.repeat(np.logical_or.reduceat(gone, begins), np.diff(np.append(begins, len(data))))
+
+
 def remove_earlier_strings(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WINDOW_BYTES, shard_bytes: int = SHARD_BYTES
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    width: int = WINDOW_BYTES,
+    shard_bytes: int = SHARD_BYTES,
+    whole_characters: bool = False,
 ) -> DataFrame:
     """The documents without the bytes in strings that also start in a document with a smaller id.
 
     A text is its UTF-8 bytes; strings are ``width`` (at least 12) of them, do not cross documents
     and are judged on the input. Added columns: ``n_bytes``, ``n_removed``, ``removed`` (maximal
     removed runs, ``[first, end)``) and ``kept`` (the other bytes, which may hold parts of
-    characters). Null and empty texts have no bytes. A null id counts as smaller than any other;
+    characters; with ``whole_characters`` such parts are left out of ``kept``, too). Null and empty texts have no bytes. A null id counts as smaller than any other;
     rows with the same id do not count as earlier, so repeated rows keep their text. An empty
     table gives an empty table.
 
@@ -309,15 +322,17 @@ def remove_earlier_strings(
         firsts, lasts = k.runs(gone, chunk.offsets)
         by_doc = np.searchsorted(firsts, chunk.offsets)
         n_removed = k.sums_between(gone, chunk.offsets)
-        kept_offsets = chunk.offsets - np.concatenate([[0], np.cumsum(n_removed)])
-        kept = chunk.data[~gone]
+        if whole_characters:
+            gone = without_torn_characters(chunk.data, gone)
+        left = np.concatenate([[0], np.cumsum(~gone)])
+        kept = c.binary_array(chunk.data[~gone], left[chunk.offsets])
         lists = np.stack([firsts, lasts], 1) - chunk.offsets[np.searchsorted(chunk.offsets, firsts, "right") - 1][:, None]
         pairs = pa.ListArray.from_arrays(pa.array(np.arange(0, 2 * len(lists) + 1, 2), pa.int32()), pa.array(lists.ravel(), pa.int64()))
         return [
             pa.array(np.diff(chunk.offsets)),
             pa.array(n_removed),
             pa.ListArray.from_arrays(pa.array(by_doc, pa.int32()), pairs),
-            pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n_removed), [None, pa.py_buffer(kept_offsets.astype(np.int64)), pa.py_buffer(kept)]),
+            kept,
         ]
 
     out = c.unpack(

@@ -3,10 +3,77 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from asterloom.llm.chunks import stage
+from asterloom.llm.chunks import by_position, small_batches, stage
+from asterloom.llm.decontaminate import find_benchmark
+from asterloom.llm.language import UNDETERMINED, identify, learn
+from asterloom.llm.packing import pack
+from asterloom.llm.simhash import first_of_groups
+from asterloom.llm.suffix_dedup import remove_earlier_strings
 
-STAGES = []
+#: Documents whose best language has a lower probability are rejected, too.
+LEAST_SCORE = 0.5
+
+
+def _plain(docs: DataFrame) -> tuple[DataFrame, list[str], str, str]:
+    """The documents with columns named by position, their names, and those of id and text."""
+    small_batches(docs.sparkSession)
+    frame, names = by_position(docs)
+    return frame, names, f"c{names.index('doc_id')}", f"c{names.index('text')}"
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leaves out documents without letters and those of no clear language."""
+    frame, names, key, text = _plain(docs)
+    network = learn(frame, key, text, f"c{names.index('lang')}")
+    found = identify(frame, network, text, keep_text=True)
+    kept = found.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
+    return kept.select(*frame.columns).toDF(*names)
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near-duplicates."""
+    frame, names, key, text = _plain(docs)
+    return first_of_groups(frame, key, text).toDF(*names)
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts out what an earlier document has, too; documents of which nothing is left go.
+
+    ``n_chars`` becomes the length of the new text. Characters that are cut in part go whole.
+    """
+    frame, names, key, text = _plain(docs)
+    out = remove_earlier_strings(frame, key, text, whole_characters=True)
+    kept = F.col("kept").cast("string")
+    out = out.filter((F.col("n_removed") == 0) | (F.octet_length("kept") > 0))
+    changed = {text: kept, f"c{names.index('n_chars')}": F.char_length(kept).cast(docs.schema["n_chars"].dataType)}
+    return out.select(*[changed.get(c, F.col(c)).alias(c) for c in frame.columns]).toDF(*names)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leaves out documents of which a twentieth of the words is in benchmark passages."""
+    frame, names, _, text = _plain(docs)
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    out = find_benchmark(frame, benchmark, text, keep_text=True)
+    return out.filter(~F.col("contaminated")).select(*frame.columns).toDF(*names)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the packed sequences, with their tokens."""
+    frame, names, key, text = _plain(docs)
+    out = pack(frame.select(key, text), text).withColumnRenamed(key, "doc_id")
+    ids = F.crc32("tokens").alias("ids_crc32")
+    return out.select("doc_id", "start", "length", ids, "doc_tokens", "sequence_id", "offset", "tokens")
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("suffix_array_dedup", suffix_array_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("packing", packing),
+]
 
 #: SQL expresses neither language prediction, XXH64 nor the tokenizer.
 ORACLE_SQL = None
