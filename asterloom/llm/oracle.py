@@ -22,5 +22,72 @@ WITH d AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
   sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
+""",
+    "op3_warc_capture_index": r"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), q AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM p
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first = page_id THEN NULL ELSE first END AS refers_to
+FROM q
+""",
+    "op7_fm_index_decontamination": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), item_windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)
+), doc_windows AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM d, (SELECT DISTINCT n FROM item_windows) WHERE len(w) >= n)
+), found AS (
+  SELECT doc_id, i, n, item_id FROM doc_windows JOIN item_windows USING (n, s)
+), hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT doc_id, i, n FROM found)) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    "op8_suffix_array_dedup": r"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents
+), windows AS (
+  SELECT doc_id, i, md5_number(substr(h, CAST(2 * i + 1 AS BIGINT), 100)) AS s
+  FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS i FROM d)
+), hit AS (
+  SELECT doc_id, i FROM windows QUALIFY min(doc_id) OVER (PARTITION BY s) < doc_id
+), ends AS (
+  SELECT doc_id, i AS a, i + 50 AS z, max(i + 50) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM hit
+), runs AS (
+  SELECT doc_id, run, min(a) AS a, max(z) AS z
+  FROM (SELECT *, sum(CASE WHEN before IS NULL OR a > before THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY a) AS run FROM ends)
+  GROUP BY doc_id, run
+), gaps AS (
+  SELECT doc_id, list({'a': a, 'z': z} ORDER BY a) AS r FROM runs GROUP BY doc_id
+), pieces AS (
+  SELECT doc_id, n, r, CASE WHEN r IS NULL THEN h ELSE
+    array_to_string(list_transform(range(0, len(r) + 1), lambda j:
+      CASE WHEN j = len(r) THEN substr(h, CAST(2 * r[j].z + 1 AS BIGINT))
+           WHEN j = 0 THEN substr(h, 1, CAST(2 * r[1].a AS BIGINT))
+           ELSE substr(h, CAST(2 * r[j].z + 1 AS BIGINT), CAST(2 * (r[j + 1].a - r[j].z) AS BIGINT)) END), '') END AS kept
+  FROM d LEFT JOIN gaps USING (doc_id)
+)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(list_sum(list_transform(r, lambda x: x.z - x.a)), 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(len(r), 0) AS BIGINT) AS n_spans, sha256(unhex(kept)) AS kept_sha256
+FROM pieces
 """,
 }
