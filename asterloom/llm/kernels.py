@@ -51,7 +51,8 @@ class Rolling:
         n = len(values)
         up, self.down = powers(n + 1, base)
         self.sums = np.zeros(n + 1, U)
-        np.cumsum(values * up[:n], out=self.sums[1:], dtype=U)
+        np.multiply(values, up[:n], out=self.sums[1:])
+        np.cumsum(self.sums, out=self.sums)
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return (self.sums[ends] - self.sums[starts]) * self.down[starts]

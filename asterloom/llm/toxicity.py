@@ -26,6 +26,8 @@ BEGINNINGS = (4, 5, 6)
 #: deviations by which its count in the category must differ from chance.
 WORDS, LEAST_DOCS, DEVIATIONS = 600, 5, 6.0
 FOLDS = 3
+#: Buckets in which words are counted first.
+WORD_BUCKETS = 1 << 21
 RIDGE, ROUNDS = 1e-4, 200
 
 
@@ -125,18 +127,25 @@ def best_threshold(truth: np.ndarray, chance: np.ndarray) -> float:
     return float((ordered[best] + ordered[min(best + 1, len(ordered) - 1)]) / 2)
 
 
-def telling_words(docs: np.ndarray, words: np.ndarray, n_words: int, labels: np.ndarray) -> np.ndarray:
-    """The words whose counts in a category differ most from chance, in ascending order."""
-    frequency = np.bincount(words, minlength=n_words)
-    chosen = []
-    for truth in labels.T:
-        share = truth.mean()
-        expected = frequency * share
-        far = np.abs(np.bincount(words, truth[docs], minlength=n_words) - expected) / np.sqrt(expected * (1 - share) + 1e-9)
-        far[frequency < LEAST_DOCS] = 0
-        best = np.argsort(-far, kind="stable")[:WORDS]
-        chosen.append(best[far[best] >= DEVIATIONS])
-    return np.unique(np.concatenate(chosen))
+def most_telling(hits: np.ndarray, frequency: np.ndarray, share: float, limit: int) -> np.ndarray:
+    """The words whose counts in a category differ most from what its share of documents gives."""
+    expected = frequency * share
+    far = np.abs(hits - expected) / np.sqrt(expected * (1 - share) + 1e-9)
+    far[frequency < LEAST_DOCS] = 0
+    best = np.argsort(-far, kind="stable")[:limit]
+    return best[far[best] >= DEVIATIONS]
+
+
+def _distinct_words(texts: pa.Array, step: int = 200):
+    """Slices of the texts: the first one's number, and pairs of text and word hash in order."""
+    for at in range(0, len(texts), step):
+        hashes, bounds = document_words(texts.slice(at, step))
+        doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        order = np.lexsort((hashes, doc))
+        doc, hashes = doc[order], hashes[order]
+        new = np.ones(len(doc), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (hashes[1:] != hashes[:-1])
+        yield at, doc[new], hashes[new]
 
 
 def train(texts: pa.Array, labels: np.ndarray, categories: list[str]) -> Chain:
@@ -144,22 +153,46 @@ def train(texts: pa.Array, labels: np.ndarray, categories: list[str]) -> Chain:
 
     Of texts whose three smallest word hashes agree (copies, mostly) only the first counts, or
     their common labels would be learned by heart. Folds are dealt by position.
+
+    Words are first counted in hash buckets, then exactly for the buckets that tell something,
+    so that the words of all texts are never held at once.
     """
-    hashes, bounds = document_words(texts)
-    seen, keep = set(), []
-    for i in range(len(texts)):
-        own = tuple(np.sort(k.distinct_sorted(np.sort(hashes[bounds[i] : bounds[i + 1]])))[:3].tolist())
-        if own not in seen:
+    seen, keep = set(), np.zeros(len(texts), bool)
+    counts = np.zeros((labels.shape[1] + 1, WORD_BUCKETS), np.int32)
+    for at, doc, hashes in _distinct_words(texts):
+        bounds = np.searchsorted(doc, np.arange(doc[-1] + 2 if len(doc) else 1))
+        for i, (low, high) in enumerate(zip(bounds[:-1], bounds[1:])):
+            own = tuple(hashes[low : min(low + 3, high)].tolist())
+            keep[at + i] = own not in seen
             seen.add(own)
-            keep.append(i)
-    keep = np.array(keep, np.int64)
-    hashes = hashes[k.ranges(bounds[:-1][keep], np.diff(bounds)[keep])]
-    bounds = np.concatenate([[0], np.cumsum(np.diff(bounds)[keep])])
+        used = keep[at + doc]
+        bucket = (hashes[used] % k.U(WORD_BUCKETS)).astype(np.int64)
+        counts[-1] += np.bincount(bucket, minlength=WORD_BUCKETS).astype(np.int32)
+        for j in range(labels.shape[1]):
+            counts[j] += np.bincount(bucket[labels[at + doc[used], j] > 0], minlength=WORD_BUCKETS).astype(np.int32)
+    place = np.cumsum(keep) - 1
     labels = labels[keep]
-    everything = k.distinct_sorted(np.sort(hashes))
-    docs, words = word_presence(hashes, bounds, everything)
-    chain = Chain(categories, everything[telling_words(docs, words, len(everything), labels)])
-    docs, words = word_presence(hashes, bounds, chain.vocabulary)
+    telling = np.zeros(WORD_BUCKETS, bool)
+    for j, share in enumerate(labels.mean(axis=0)):
+        telling[most_telling(counts[j], counts[-1], share, 4 * WORDS)] = True
+    docs, words = [], []
+    for at, doc, hashes in _distinct_words(texts):
+        used = keep[at + doc] & telling[(hashes % k.U(WORD_BUCKETS)).astype(np.int64)]
+        docs.append(place[at + doc[used]])
+        words.append(hashes[used])
+    docs, words = np.concatenate([*docs, np.zeros(0, np.int64)]), np.concatenate([*words, np.zeros(0, k.U)])
+    everything = k.distinct_sorted(np.sort(words))
+    at = np.searchsorted(everything, words)
+    frequency = np.bincount(at, minlength=len(everything))
+    chosen = [
+        most_telling(np.bincount(at, labels[docs, j], minlength=len(everything)), frequency, labels[:, j].mean(), WORDS)
+        for j in range(labels.shape[1])
+    ]
+    chosen = np.unique(np.concatenate(chosen))
+    chain = Chain(categories, everything[chosen])
+    known = np.isin(at, chosen)
+    docs, words = docs[known], np.searchsorted(chosen, at[known])
+    keep = np.flatnonzero(keep)
     n, n_words = len(keep), len(chain.vocabulary)
     fold = np.arange(n) % FOLDS
     earlier = np.zeros((n, 0))
