@@ -33,7 +33,9 @@ def keep_one(
 
     The survivor is the first row with a non-null value in each ``prefer`` column, then
     the smallest by ``tie_break`` (nulls last). By default all other columns break
-    ties, so the result depends on neither the input order nor re-run tasks.
+    ties, so the result depends on neither the input order nor re-run tasks. Map and
+    variant columns have no order and are left out: copies that differ in nothing else
+    may be chosen either way.
 
     ``row_number() = 1`` is planned as a group limit in front of the shuffle as well as
     behind it: however many copies a key has, each task sends on at most one of them.

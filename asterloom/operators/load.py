@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from asterloom.functions import named
-from asterloom.sinks.writers import append_rows, create_if_absent
+from asterloom.sinks.writers import append_rows, by_key, create_if_absent
 from asterloom.sources.readers import read_target
 
 # Keys of a batch up to this size are sent to all executors.
@@ -24,7 +24,8 @@ _ROW_OVERHEAD = 64
 BROADCAST_TARGET_RATIO = 4
 
 # Key types whose smallest and largest value can be fetched and compared safely. Dates
-# are left out: Spark's reach beyond the years that Python can hold.
+# are left out: Spark's reach beyond the years that Python can hold. Text is used only
+# where both bounds are valid UTF-8: other bytes do not survive the way through Python.
 _RANGE_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType)
 
 
@@ -77,7 +78,10 @@ def _ranged(batch: DataFrame, existing: DataFrame, keys: Sequence[str]) -> list[
 def _within_range(existing: DataFrame, ranges: Mapping[str, tuple]) -> DataFrame:
     """Drop target rows outside the batch's key ranges; the condition reaches the scan,
     which skips row groups by their statistics."""
-    for key, (low, high) in ranges.items():
+    for key, bounds in ranges.items():
+        if bounds is None:
+            continue
+        low, high = bounds
         inside = named(key).isNull()
         if low is not None:
             inside = inside | named(key).between(F.lit(low), F.lit(high))
@@ -85,6 +89,16 @@ def _within_range(existing: DataFrame, ranges: Mapping[str, tuple]) -> DataFrame
     return existing
 
 
+def _bounds(batch: DataFrame, key: str) -> Column:
+    """The smallest and largest key, null if they cannot be fetched safely."""
+    low, high = F.min(named(key)), F.max(named(key))
+    bounds = F.struct(low, high)
+    if isinstance(batch.schema[key].dataType, T.StringType):
+        safe = F.coalesce(F.is_valid_utf8(low) & F.is_valid_utf8(high), F.lit(True))
+        bounds = F.when(safe, bounds)
+    return bounds.alias(f"range_{key}")
+
+
 def _aligned(batch: DataFrame, target: DataFrame) -> DataFrame:
     """Batch columns in the target's order and spelling; names match case-insensitively."""
     mine = {f.name.lower(): f for f in batch.schema}
@@ -112,6 +126,10 @@ def incremental_append(
     * Otherwise rows with known keys are skipped. Stored rows are never updated, the
       first version seen stays; rows of one batch that share a new key are all loaded.
 
+    What is appended is ordered by key and written in files of the size that adaptive
+    execution aims at, so a small load leaves one file, and later loads skip the files
+    and row groups whose keys they do not have.
+
     The target's keys are shuffled only if the batch's keys take more than
     ``broadcast_key_bytes`` or the target is hardly larger than the batch.
 
@@ -125,13 +143,14 @@ def incremental_append(
     target_rows = 0
     if existing is not None:
         batch = _aligned(batch, existing)
+    spelled = {c.lower(): c for c in batch.columns}
+    keys = [spelled[k.lower()] for k in keys]
+    if existing is not None:
         # Parquet answers this from its footers.
         target_rows = existing.count() if keys else 0
     if not target_rows:
-        return LoadResult(append_rows(batch, target), 0)
+        return LoadResult(append_rows(by_key(batch, keys) if keys else batch, target), 0)
 
-    spelled = {c.lower(): c for c in batch.columns}
-    keys = [spelled[k.lower()] for k in keys]
     key_bytes = sum(
         (F.coalesce(F.octet_length(named(k).cast("string")), F.lit(0)) for k in keys),
         F.lit(_ROW_OVERHEAD),
@@ -140,13 +159,13 @@ def incremental_append(
     size = batch.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(key_bytes.cast("bigint")), F.lit(0)).alias("key_bytes"),
-        *[F.struct(F.min(named(k)), F.max(named(k))).alias(f"range_{k}") for k in ranged],
+        *[_bounds(batch, k) for k in ranged],
     ).first()
 
-    existing = _within_range(existing, {k: tuple(size[f"range_{k}"]) for k in ranged})
+    existing = _within_range(existing, {k: size[f"range_{k}"] for k in ranged})
     small = (
         size["key_bytes"] <= broadcast_key_bytes
         and size["rows"] * BROADCAST_TARGET_RATIO <= target_rows
     )
-    loaded = append_rows(new_rows(batch, existing, keys, small), target)
+    loaded = append_rows(by_key(new_rows(batch, existing, keys, small), keys), target)
     return LoadResult(loaded, size["rows"] - loaded)

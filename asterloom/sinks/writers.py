@@ -2,20 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from asterloom.functions import named
 from asterloom.sources.readers import is_path
 
 
-def _counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
-    # The observation sits on top of the plan, in the writing stage: a task that is
-    # run again after a lost executor is counted once.
+def write_observed(
+    df: DataFrame, write: Callable[[DataFrame], None], metrics: Mapping[str, Column] = {}
+) -> dict[str, int]:
+    """Write, and return ``rows`` and the given aggregates from the same pass.
+
+    The observation sits on top of the plan, in the writing stage: a task that is run
+    again after a lost executor is counted once.
+    """
     observation = Observation()
-    write(df.observe(observation, F.count(F.lit(1)).alias("rows")))
-    return observation.get["rows"]
+    counts = [m.alias(name) for name, m in metrics.items()]
+    write(df.observe(observation, F.count(F.lit(1)).alias("rows"), *counts))
+    return observation.get
+
+
+def _counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    return write_observed(df, write)["rows"]
 
 
 def write_records(df: DataFrame, path: str) -> int:
@@ -23,18 +34,21 @@ def write_records(df: DataFrame, path: str) -> int:
     return _counted(df, lambda d: d.write.mode("overwrite").json(path))
 
 
+def write_table(df: DataFrame, path: str) -> None:
+    """Replace a Parquet table, without a count."""
+    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+
+
 def overwrite_table(df: DataFrame, path: str) -> int:
     """Replace a Parquet table; as many files as the plan has partitions."""
-    return _counted(
-        df,
-        lambda d: d.write.mode("overwrite").option("compression", "snappy").parquet(path),
-    )
+    return _counted(df, lambda d: write_table(d, path))
 
 
 def overwrite_single_file(df: DataFrame, path: str) -> int:
     """Replace a Parquet table by one snappy file, for small dimensions.
 
-    The rows are moved to one writer by a shuffle. ``coalesce(1)`` would instead pull
+    All rows go to one writer, so this is only for tables that do not grow with the data.
+    They are moved by a shuffle. ``coalesce(1)`` would instead pull
     the whole stage in front of it, scans and joins included, into a single task.
     """
     return overwrite_table(df.repartition(1), path)
@@ -48,6 +62,12 @@ def _save(df: DataFrame, target: str, mode: str) -> None:
         writer.saveAsTable(target)
 
 
+def by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows in ranges of the keys, sorted in each; adaptive execution sets their number."""
+    order = [named(k) for k in keys]
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def create_if_absent(df: DataFrame, target: str) -> None:
     """Create an empty target with the columns of ``df``; an existing one is left alone."""
     _save(df.limit(0), target, "ignore")

@@ -166,3 +166,24 @@ def test_when_the_batch_is_broadcast(spark, target, monkeypatch, rows_there, lim
     append_rows(facts(spark, *[(i, i) for i in range(rows_there)]), target)
     assert incremental_append(facts(spark, (-1, -1)), target, KEYS, limit) == (1, 0)
     assert seen == [small]
+
+
+def test_text_keys_that_are_no_utf8_are_loaded_once(spark, target, limit, tmp_path):
+    overwrite_table(spark.sql("SELECT CAST(unhex('FF61') AS STRING) AS name, 1 AS n"), f"{tmp_path}/b")
+    batch = read_table(spark, f"{tmp_path}/b")
+    assert incremental_append(batch, target, ["name"], limit) == (1, 0)
+    assert incremental_append(batch, target, ["name"], limit) == (0, 1)
+    mixed = batch.unionByName(spark.createDataFrame([("é", 2), (None, 3)], "name string, n int"))
+    assert incremental_append(mixed, target, ["name"], limit) == (2, 1)
+    assert read_table(spark, target).count() == 3
+
+
+def test_small_loads_leave_one_sorted_file_each(spark, target, tmp_path):
+    for day in range(20):
+        keys = [(day + 20 * i, 1) for i in range(50)]
+        assert incremental_append(facts(spark, *keys).repartition(7), target, KEYS) == (50, 0)
+    files = sorted((tmp_path / "warehouse" / "fact").glob("part-*"))
+    assert 20 <= len(files) <= 21
+    for file in files:
+        ids = [r.movie_id for r in spark.read.parquet(str(file)).collect()]
+        assert ids == sorted(ids)
