@@ -45,6 +45,7 @@ TABLE_KEYS = {
     "fact_movie_metrics": ["movie_id", "genre_id"],
 }
 
+# Columns and types of the categories and of the raw records.
 GENRE_SCHEMA = "genre_id bigint, genre_name string"
 
 RECORD_SCHEMA = (
@@ -65,6 +66,7 @@ RECORD_SCHEMA = (
     .add("backdrop_path", T.StringType())
 )
 
+# Columns of the data contract and what is asked of them.
 KEY = "id"
 REQUIRED = ("id", "title")
 TRIMMED = ("title", "original_title", "overview")
@@ -86,6 +88,7 @@ FACT = FactSpec(
 def entity_spec(image_base: str) -> EntitySpec:
     """Movie dimension; ``image_base`` is put in front of the poster path."""
     return EntitySpec(
+        # Columns of the movie dimension.
         columns=(
             "movie_id",
             "title",
@@ -104,8 +107,9 @@ def entity_spec(image_base: str) -> EntitySpec:
     )
 
 
-def movie_model(image_base: str) -> StarModel:
+def movie_model(image_base: str, flat: bool = False) -> StarModel:
     return StarModel(
+        flat=flat,
         record_schema=RECORD_SCHEMA,
         key=KEY,
         required=REQUIRED,
@@ -119,6 +123,7 @@ def movie_model(image_base: str) -> StarModel:
         entity=entity_spec(image_base),
         fact=FACT,
         table_keys=TABLE_KEYS,
+        # Table names.
         tables={
             "parent": "movies_clean",
             "bridge": "genres_clean",

@@ -3,7 +3,14 @@
 from __future__ import annotations
 
 from asterloom.plans.movies import GENRES
-from asterloom.plans.queries import IMAGE_BASE, LOADED_BEFORE, PAGE_WINDOWS
+from asterloom.plans.queries import (
+    DAY_FROM,
+    DAY_HELD,
+    DAY_TO,
+    IMAGE_BASE,
+    LOADED_BEFORE,
+    PAGE_WINDOWS,
+)
 from asterloom.plans.testdata import GENRE_SLOTS
 
 _SLOT_CASES = " ".join(
@@ -64,9 +71,14 @@ fact AS (
   FROM cleaned c LEFT JOIN bridge b ON c.id = b.movie_id),
 history AS (SELECT * FROM fact WHERE date_id < DATE '{LOADED_BEFORE}'),
 fresh AS (
-  SELECT f.* FROM fact f WHERE NOT EXISTS (
-    SELECT 1 FROM history h WHERE f.movie_id IS NOT DISTINCT FROM h.movie_id
-                              AND f.genre_id IS NOT DISTINCT FROM h.genre_id)),
+  SELECT f.* FROM fact f ANTI JOIN history h
+  ON f.movie_id = h.movie_id AND coalesce(f.genre_id, -1) = coalesce(h.genre_id, -1)),
+month AS (SELECT * FROM fact WHERE date_id >= DATE '{DAY_FROM}' AND date_id < DATE '{DAY_TO}'),
+held AS (
+  SELECT * FROM fact WHERE date_id IS NULL OR date_id < DATE '{DAY_HELD}' OR date_id >= DATE '{DAY_TO}'),
+day_fresh AS (
+  SELECT f.* FROM month f ANTI JOIN held h
+  ON f.movie_id = h.movie_id AND coalesce(f.genre_id, -1) = coalesce(h.genre_id, -1)),
 dates AS (
   SELECT DISTINCT parsed_date AS date_id,
          CAST(year(parsed_date) AS VARCHAR) AS year,
@@ -87,8 +99,12 @@ per_movie AS (
   FROM fact GROUP BY movie_id),
 pages AS (
   SELECT *, CASE WHEN id % 50 = 0 THEN 0 WHEN id % 20 = 0 THEN 2 ELSE 1 END AS results,
-         id % 97 = 0 AS broken
-  FROM single)
+         id % 97 = 0 AS broken, id % 71 = 0 OR id % 89 = 0 AS mistyped
+  FROM single),
+paged AS (
+  SELECT *, greatest(1, len(list_filter(coalesce(genre_ids, []), lambda g: g IS NOT NULL))) AS fact_rows,
+         len(list_filter(coalesce(genre_ids, []), lambda g: g = 99999)) AS orphans
+  FROM pages WHERE NOT broken AND results > 0 AND title IS NOT NULL)
 """
 
 _RECORD = (
@@ -142,6 +158,7 @@ _BODIES = {
         " GROUP BY genre_id"
     ),
     **{f"page_window_{name}": _window(order, 40, 100) for name, order in PAGE_WINDOWS.items()},
+    "page_window_deep": _window("popularity.desc", 12000, 100),
     "page_window_wrapped": (
         f"{_window('popularity.desc', 160, 40)} UNION ALL {_window('popularity.desc', 0, 40)}"
     ),
@@ -150,19 +167,26 @@ _BODIES = {
     ),
     "flatten_pages": f"""
         SELECT {_RECORD}, genres_text
-        FROM (SELECT *, unnest(range(results)) AS copy FROM pages WHERE NOT broken)""",
+        FROM (SELECT * REPLACE (CASE WHEN NOT mistyped THEN vote_count END AS vote_count),
+                     unnest(range(results)) AS copy FROM pages WHERE NOT broken)""",
     "page_report": """
         SELECT count(*) AS pages, count(*) FILTER (WHERE broken) AS broken_pages,
                CAST(sum(CASE WHEN broken THEN 0 ELSE results END) AS BIGINT) AS records
         FROM pages""",
     "new_rows": "SELECT * FROM fresh",
+    "new_rows_small": "SELECT * FROM day_fresh",
+    "append_day": (
+        "SELECT * REPLACE (popularity / 2 AS popularity) FROM held UNION ALL SELECT * FROM day_fresh"
+    ),
     "target_keys": "SELECT movie_id, genre_id FROM fact",
     "append_first": "SELECT * FROM fact",
     "append_second": (
         "SELECT * REPLACE (popularity / 2 AS popularity) FROM history"
         " UNION ALL SELECT * FROM fresh"
     ),
-    "append_second_shuffled": "SELECT * FROM history UNION ALL SELECT * FROM fresh",
+    "append_second_shuffled": (
+        "SELECT * REPLACE (popularity / 2 AS popularity) FROM held UNION ALL SELECT * FROM day_fresh"
+    ),
     "append_none_new": "SELECT * FROM fact",
     "append_keyless": "SELECT * FROM fact UNION ALL SELECT * FROM fact",
     "append_counts": """
@@ -181,6 +205,19 @@ _BODIES = {
     "parquet_round_trip": f"SELECT {_RECORD}, genres_text FROM raw",
     "single_file_round_trip": "SELECT * FROM dates",
     "star_pipeline": "SELECT * FROM fact",
+    "star_pipeline_flat": "SELECT * FROM fact",
+    "pipeline_report": """
+        SELECT 'pages' AS name, count(*) AS n_rows FROM pages
+        UNION ALL SELECT 'broken_pages', count(*) FROM pages WHERE broken
+        UNION ALL SELECT 'raw', CAST(sum(results) AS BIGINT) FROM pages WHERE NOT broken
+        UNION ALL SELECT 'clean', count(*) FROM paged
+        UNION ALL SELECT 'removed', (SELECT CAST(sum(results) AS BIGINT) FROM pages WHERE NOT broken)
+                                    - (SELECT count(*) FROM paged)
+        UNION ALL SELECT 'dim_genre', count(*) FROM genre
+        UNION ALL SELECT 'dim_date', count(DISTINCT try_cast(release_date AS DATE)) FROM paged
+        UNION ALL SELECT 'dim_movie', count(*) FROM paged
+        UNION ALL SELECT 'fact_movie_metrics', CAST(sum(fact_rows) AS BIGINT) FROM paged
+        UNION ALL SELECT 'orphans', CAST(sum(orphans) AS BIGINT) FROM paged""",
     "pipeline_counts": " UNION ALL ".join(
         f"SELECT CAST({run} AS INTEGER) AS run, '{name}' AS table_name,"
         f" {loaded} AS loaded, {skipped} AS skipped"

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from functools import partial
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,7 +42,13 @@ from asterloom.plans.movies import (
     entity_spec,
     movie_model,
 )
-from asterloom.plans.pipeline import Layout, PipelineResult, run_pipeline
+from asterloom.plans.pipeline import (
+    Layout,
+    PipelineResult,
+    run_from_pages,
+    run_pipeline,
+    side_by_side,
+)
 from asterloom.plans.testdata import movie_records, single_records, table
 from asterloom.sinks import (
     append_rows,
@@ -72,6 +77,13 @@ LOADED_BEFORE = "1998-01-01"
 # The four orders by the name of their query, and the pages shown: first and number.
 PAGE_WINDOWS = dict(zip(("release_date", "vote_average", "popularity", "title"), PAGE_ORDERS))
 PAGES = (3, 5)
+# A window below the rows that are cut out by a top-k.
+DEEP_PAGES = (601, 5)
+# A day's work: what came out in this month, against a target that holds all the rest and the
+# first half of the month.
+DAY_FROM, DAY_HELD, DAY_TO = "1997-03-01", "1997-03-15", "1997-04-01"
+# Records in one JSON array file: those whose ids share this many numbers.
+ARRAY_IDS = 4000
 
 
 # --- shared parts -----------------------------------------------------------------
@@ -227,6 +239,11 @@ def window_of(order: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_window(_catalogue(spark, sf_dir), order, KEY, *PAGES)
 
 
+def page_window_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows below the first 12,000."""
+    return page_window(_catalogue(spark, sf_dir), "popularity.desc", KEY, *DEEP_PAGES)
+
+
 def page_window_wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A window that passes the last page and goes on at the first one."""
     return page_window(_catalogue(spark, sf_dir), "popularity.desc", KEY, 9, 4, last_page=10)
@@ -241,7 +258,8 @@ def union_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page per order, written as text: most with one result, some with two or without
-    any, and some cut off in the middle."""
+    any, and some cut off in the middle. Of the readable ones some have a field of the wrong
+    type, some a field that comes twice, some both."""
     records = single_records(spark, sf_dir)
     record = F.struct(*RECORD_SCHEMA.names)
     results = F.when(
@@ -250,7 +268,13 @@ def _landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     text = F.to_json(F.struct(F.col(KEY).alias("page"), results.alias("results")))
     cut = F.substring(text, F.lit(1), F.length(text) - 3)
-    lines = records.select(F.when(F.col(KEY) % 97 == 0, cut).otherwise(text).alias("value"))
+    both = F.col(KEY) % 71 == 0
+    mistyped = F.regexp_replace(text, '"vote_count":[0-9]+', '"vote_count":"many"')
+    text = F.when(both | (F.col(KEY) % 89 == 0), mistyped).otherwise(text)
+    again = F.concat(F.expr("substring(text, 1, length(text) - 1)"), F.lit(',"page":'), KEY, F.lit("}"))
+    twice = F.when(both | (F.col(KEY) % 83 == 0), again).otherwise(F.col("text"))
+    lines = records.select(KEY, text.alias("text"), cut.alias("cut"))
+    lines = lines.select(F.when(F.col(KEY) % 97 == 0, F.col("cut")).otherwise(twice).alias("value"))
     folder = new_scratch_dir(spark, "pages")
     lines.write.text(folder)
     return read_pages(spark, folder, RECORD_SCHEMA, multiline=False)
@@ -278,6 +302,37 @@ def new_rows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return new_rows(batch, target_keys(spark, f"{folder}/target", FACT_KEYS), FACT_KEYS)
 
 
+def _day(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of a month, categories of null included, and those of all other days and of
+    its first half."""
+    date = F.col("date_id")
+    month = (date >= F.lit(DAY_FROM).cast("date")) & (date < F.lit(DAY_TO).cast("date"))
+    held = ~F.coalesce(month, F.lit(False)) | (date < F.lit(DAY_HELD).cast("date"))
+    return batch.filter(month), batch.filter(held)
+
+
+def new_rows_small(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month's batch, small beside its target: nothing of the target is shuffled."""
+    folder = new_scratch_dir(spark, "new-rows")
+    month, held = _day(_stored_fact(spark, sf_dir, folder))
+    overwrite_table(held, f"{folder}/target")
+    keys = target_keys(spark, f"{folder}/target", FACT_KEYS)
+    return new_rows(month, keys, FACT_KEYS, small=True)
+
+
+def _append_day(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    folder = new_scratch_dir(spark, "append")
+    month, held = _day(_stored_fact(spark, sf_dir, folder))
+    append_rows(held.withColumn("popularity", F.col("popularity") / 2), f"{folder}/target")
+    incremental_append(month, f"{folder}/target", FACT_KEYS, **options)
+    return read_table(spark, f"{folder}/target")
+
+
+def append_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month's batch, broadcast to a target many times as large; stored rows stay."""
+    return _append_day(spark, sf_dir)
+
+
 def target_keys_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_scratch_dir(spark, "target-keys")
     append_rows(_fact(spark, sf_dir), f"{folder}/target")
@@ -302,12 +357,8 @@ def append_second(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def append_second_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with a batch taken as too large for a broadcast."""
-    folder = new_scratch_dir(spark, "append")
-    batch = _stored_fact(spark, sf_dir, folder)
-    append_rows(_history(batch), f"{folder}/target")
-    incremental_append(batch, f"{folder}/target", FACT_KEYS, broadcast_key_bytes=-1)
-    return read_table(spark, f"{folder}/target")
+    """The month's batch again, taken as too large for a broadcast."""
+    return _append_day(spark, sf_dir, broadcast_key_bytes=-1)
 
 
 def append_none_new(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -371,18 +422,15 @@ def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(read_records(spark, folder, RECORD_SCHEMA, multiline=False))
 
 
-def _as_arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """JSON records, one per row, to one JSON array over several lines per batch."""
-    for batch in batches:
-        yield pd.DataFrame({"value": ["[\n" + ",\n".join(batch["value"]) + "\n]"]})
-
-
 def json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files that each hold one JSON array over several lines, at most an Arrow batch long."""
+    """Files that each hold one JSON array over several lines: at most two records for each of
+    ``ARRAY_IDS`` neighbouring ids, so the number of files follows that of the records."""
     folder = new_scratch_dir(spark, "json-arrays")
-    records = movie_records(spark, sf_dir)
-    lines = records.select(F.to_json(F.struct(*RECORD_SCHEMA.names)).alias("value"))
-    arrays = lines.mapInPandas(_as_arrays, "value string")
+    line = F.to_json(F.struct(*RECORD_SCHEMA.names)).alias("line")
+    group = F.floor(F.col(KEY) / ARRAY_IDS).alias("file")
+    lines = movie_records(spark, sf_dir).select(group, line).groupBy("file")
+    joined = F.array_join(F.collect_list("line"), ",\n")
+    arrays = lines.agg(F.concat(F.lit("[\n"), joined, F.lit("\n]")).alias("value")).select("value")
     arrays.write.option("maxRecordsPerFile", 1).text(folder)
     return _flat(read_records(spark, folder, RECORD_SCHEMA, multiline=True))
 
@@ -402,8 +450,10 @@ def single_file_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, folder)
 
 
-def _pipeline(spark: SparkSession, sf_dir: str, layout: Layout) -> PipelineResult:
-    return run_pipeline(movie_records(spark, sf_dir), layout, movie_model(IMAGE_BASE))
+def _pipeline(
+    spark: SparkSession, sf_dir: str, layout: Layout, flat: bool = False
+) -> PipelineResult:
+    return run_pipeline(movie_records(spark, sf_dir), layout, movie_model(IMAGE_BASE, flat))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -413,6 +463,21 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{layout.target}/fact_movie_metrics")
 
 
+def pipeline_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loaded fact of a run that stores a parent and a bridge table and joins them."""
+    layout = Layout.under(new_scratch_dir(spark, "pipeline"))
+    _pipeline(spark, sf_dir, layout, flat=True)
+    return read_table(spark, f"{layout.target}/fact_movie_metrics")
+
+
+def pipeline_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All row counts of a run from pages: pages read and broken, and orphans among them."""
+    layout = Layout.under(new_scratch_dir(spark, "pipeline"))
+    pages = _landed_pages(spark, sf_dir)
+    result = run_from_pages(pages, layout, movie_model(IMAGE_BASE), load=False)
+    return spark.createDataFrame(list(result.counts.items()), "name string, n_rows bigint")
+
+
 def pipeline_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows loaded and skipped per table, in two runs over the same records."""
     layout = Layout.under(new_scratch_dir(spark, "pipeline"))
@@ -429,6 +494,26 @@ def pipeline_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- what the star schema is read for -------------------------------------------------
 
 
+def _star(spark: SparkSession, sf_dir: str, *roles: str) -> dict[str, DataFrame]:
+    """Tables of the star schema, stored once and read back: what a consumer starts from.
+
+    The cleaned records are stored, too, so that they are cleaned once for all tables.
+    """
+    folder = new_scratch_dir(spark, "star")
+    source = _cleaned(spark, sf_dir) if "fact" in roles else _parents(spark, sf_dir)
+    overwrite_table(source, f"{folder}/records")
+    stored = read_table(spark, f"{folder}/records")
+    tables = {
+        "fact": lambda: build_fact_from_arrays(stored, ARRAY, FACT),
+        "date": lambda: date_dimension(stored, "release_date"),
+        "entity": lambda: entity_dimension(stored, entity_spec(IMAGE_BASE)),
+    }
+    side_by_side(
+        spark, {r: partial(overwrite_table, tables[r](), f"{folder}/{r}") for r in roles}
+    )
+    return {r: read_table(spark, f"{folder}/{r}") for r in roles}
+
+
 def _per_movie(fact_rows: DataFrame) -> DataFrame:
     """One row per movie: the fact repeats a movie's metrics for each of its categories."""
     metrics = ("date_id", "popularity", "vote_average", "vote_count")
@@ -437,7 +522,7 @@ def _per_movie(fact_rows: DataFrame) -> DataFrame:
 
 def metrics_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact by category; categories without a name keep their id."""
-    sums = _fact(spark, sf_dir).groupBy(ELEMENT).agg(
+    sums = _star(spark, sf_dir, "fact")["fact"].groupBy(ELEMENT).agg(
         F.count(F.lit(1)).alias("fact_rows"),
         _exact("popularity", 2).alias("popularity"),
         F.sum("vote_count").alias("vote_count"),
@@ -448,13 +533,12 @@ def metrics_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def metrics_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Movies by year and month of the date dimension, each movie counted once."""
-    facts = _fact(spark, sf_dir)
-    per_date = _per_movie(facts).groupBy("date_id").agg(
+    star = _star(spark, sf_dir, "fact", "date")
+    per_date = _per_movie(star["fact"]).groupBy("date_id").agg(
         F.count(F.lit(1)).alias("movies"),
         F.sum(F.col("popularity").cast("decimal(18,2)")).alias("popularity"),
     )
-    dates = date_dimension(_parents(spark, sf_dir), "release_date")
-    joined = per_date.join(dates, "date_id", "left").groupBy("year", "month")
+    joined = per_date.join(star["date"], "date_id", "left").groupBy("year", "month")
     return joined.agg(
         F.sum("movies").alias("movies"), F.sum("popularity").cast("double").alias("popularity")
     )
@@ -462,19 +546,20 @@ def metrics_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def top_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 most popular movies. Only those 20 rows meet the movie dimension."""
+    star = _star(spark, sf_dir, "fact", "entity")
     top = (
-        _per_movie(_fact(spark, sf_dir))
+        _per_movie(star["fact"])
         .select(PARENT_KEY, "popularity", "vote_count")
         .orderBy(F.desc_nulls_last("popularity"), PARENT_KEY)
         .limit(20)
     )
-    titles = dim_entity(spark, sf_dir).select(PARENT_KEY, "title")
+    titles = star["entity"].select(PARENT_KEY, "title")
     return titles.join(F.broadcast(top), PARENT_KEY)
 
 
 def entity_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals over movies, not over fact rows."""
-    return _per_movie(_fact(spark, sf_dir)).agg(
+    return _per_movie(_star(spark, sf_dir, "fact")["fact"]).agg(
         F.count(F.lit(1)).alias("movies"),
         _exact("popularity", 2).alias("popularity"),
         F.sum("vote_count").alias("vote_count"),
@@ -498,14 +583,17 @@ QUERIES: dict[str, Query] = {
     "casts": casts,
     "orphan_categories": orphan_categories,
     **{f"page_window_{name}": partial(window_of, order) for name, order in PAGE_WINDOWS.items()},
+    "page_window_deep": page_window_deep,
     "page_window_wrapped": page_window_wrapped,
     "union_pages": union_pages,
     "flatten_pages": flatten_pages_query,
     "page_report": page_report_query,
     "new_rows": new_rows_query,
+    "new_rows_small": new_rows_small,
     "target_keys": target_keys_query,
     "append_first": append_first,
     "append_second": append_second,
+    "append_day": append_day,
     "append_second_shuffled": append_second_shuffled,
     "append_none_new": append_none_new,
     "append_keyless": append_keyless,
@@ -516,6 +604,8 @@ QUERIES: dict[str, Query] = {
     "parquet_round_trip": parquet_round_trip,
     "single_file_round_trip": single_file_round_trip,
     "star_pipeline": pipeline,
+    "star_pipeline_flat": pipeline_flat,
+    "pipeline_report": pipeline_report,
     "pipeline_counts": pipeline_counts,
     "metrics_by_category": metrics_by_category,
     "metrics_by_month": metrics_by_month,

@@ -4,6 +4,7 @@ from asterloom.sources.readers import (
     CORRUPT_COLUMN,
     flatten_pages,
     literal_table,
+    page_metrics,
     page_report,
     page_schema,
     read_pages,
@@ -19,6 +20,7 @@ __all__ = [
     "concat_pages",
     "flatten_pages",
     "literal_table",
+    "page_metrics",
     "page_report",
     "page_schema",
     "page_window",

@@ -63,10 +63,10 @@ def read_pages(
 
 
 def _is_broken() -> Column:
-    # A page with one badly typed field also fills the corrupt column although it is
-    # valid JSON; only a page that is no JSON at all counts as broken.
-    text = named(CORRUPT_COLUMN)
-    return text.isNotNull() & F.try_parse_json(text).isNull()
+    # A page with one badly typed field also fills the corrupt column, but what could be
+    # read of it is there; of a page that is no JSON nothing is.
+    unread = F.col("page").isNull() & F.col("results").isNull()
+    return named(CORRUPT_COLUMN).isNotNull() & unread
 
 
 def flatten_pages(pages: DataFrame) -> DataFrame:
@@ -80,12 +80,17 @@ def flatten_pages(pages: DataFrame) -> DataFrame:
 
 def page_report(pages: DataFrame) -> DataFrame:
     """One row: pages read, broken pages among them, records in the good ones."""
+    return pages.agg(*[metric.alias(name) for name, metric in page_metrics().items()])
+
+
+def page_metrics() -> dict[str, Column]:
+    """The aggregates of the page report, to be counted in a pass over the pages."""
     records = F.when(_is_broken() | F.col("results").isNull(), 0).otherwise(F.size("results"))
-    return pages.agg(
-        F.count(F.lit(1)).alias("pages"),
-        F.count_if(_is_broken()).alias("broken_pages"),
-        F.coalesce(F.sum(records), F.lit(0)).cast("bigint").alias("records"),
-    )
+    return {
+        "pages": F.count(F.lit(1)),
+        "broken_pages": F.count_if(_is_broken()),
+        "records": F.coalesce(F.sum(records), F.lit(0)).cast("bigint"),
+    }
 
 
 def read_table(

@@ -1,8 +1,8 @@
 import pytest
 
 from asterloom.plans import movies as m
-from asterloom.plans.pipeline import Layout, run_pipeline
-from asterloom.sources import read_table
+from asterloom.plans.pipeline import Layout, parent_and_bridge, run_from_pages, run_pipeline
+from asterloom.sources import read_pages, read_table
 
 from tests.helpers import EDGE_ROWS, records, rows
 
@@ -22,12 +22,11 @@ def test_run_twice(spark, layout):
         "raw": 8,
         "clean": 5,
         "removed": 3,
-        "movies_clean": 5,
-        "genres_clean": 5,
         "dim_genre": 18,
         "dim_date": 3,
         "dim_movie": 5,
         "fact_movie_metrics": 7,
+        "orphans": 1,
     }
     assert result.loads == FIRST
     again = run_pipeline(raw, layout, MODEL)
@@ -52,9 +51,29 @@ def test_next_day_adds_and_keeps(spark, layout):
     }
     movies = read_table(spark, f"{layout.target}/dim_movie")
     assert rows(movies, "movie_id", "title")[0] == (1, "A")
-    layer = read_table(spark, f"{layout.processed}/movies_clean")
+    layer, bridge = parent_and_bridge(spark, layout, MODEL)
     assert rows(layer, "id", "title") == [(1, "changed"), (6, "F")]
-    assert m.ARRAY not in layer.columns
+    assert m.ARRAY not in layer.columns and bridge.count() == 3
+
+
+def test_flat_model_joins_stored_tables(spark, tmp_path):
+    raw = records(spark, *EDGE_ROWS)
+    nested = run_pipeline(raw, Layout.under(f"{tmp_path}/nested"), MODEL)
+    flat = run_pipeline(raw, Layout.under(f"{tmp_path}/flat"), m.movie_model("https://images.example.org/w500", flat=True))
+    assert flat.counts == nested.counts | {"movies_clean": 5, "genres_clean": 5}
+    facts = [rows(read_table(spark, f"{tmp_path}/{x}/target/fact_movie_metrics")) for x in ("nested", "flat")]
+    assert facts[0] == facts[1]
+
+
+def test_run_from_pages(spark, layout):
+    (layout_root,) = {layout.raw.removesuffix("/raw")}
+    lines = ['{"page": 1, "results": [{"id": 1, "title": "a", "genre_ids": [28, 7]}]}', '{"page": 2, "res', '{"page": 3}']
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(f"{layout_root}/pages")
+    pages = read_pages(spark, f"{layout_root}/pages", m.RECORD_SCHEMA, multiline=False)
+    counts = run_from_pages(pages, layout, MODEL, load=False).counts
+    assert (counts["pages"], counts["broken_pages"], counts["raw"], counts["orphans"]) == (3, 1, 1, 1)
+    with pytest.raises(ValueError, match="no rows"):
+        run_from_pages(pages.filter("page = 3"), layout, MODEL)
 
 
 def test_load_can_be_switched_off(spark, layout, tmp_path):

@@ -67,6 +67,14 @@ def test_a_mistyped_field_does_not_lose_the_page(spark, tmp_path):
     assert rows(page_report(pages)) == [(2, 1, 2)]
 
 
+def test_a_repeated_field_does_not_lose_the_page(spark, tmp_path):
+    both = '{"page": 6, "results": [{"id": "x", "title": "a"}, {"id": 2, "title": "b"}], "page": 6}'
+    twice = '{"page": 7, "results": [{"id": 3, "title": "c"}], "page": 7}'
+    pages = read_pages(spark, put(tmp_path / "p", a=both, b=twice, c=CUT), RECORD)
+    assert rows(flatten_pages(pages), "id", "title") == [(None, "a"), (2, "b"), (3, "c")]
+    assert rows(page_report(pages)) == [(3, 1, 3)]
+
+
 def test_guard_on_pages_without_records(spark, tmp_path):
     pages = read_pages(spark, put(tmp_path / "p", c=CUT, d={"page": 4, "results": []}), RECORD)
     with pytest.raises(ValueError):
@@ -150,7 +158,24 @@ def test_page_window_wraps(catalogue):
 ])
 def test_page_window_rejects(catalogue, order, start, pages):
     with pytest.raises(ValueError):
-        page_window(catalogue, order, "id", start, pages)
+        page_window(catalogue, order, "id", start, pages, last_page=500)
+
+
+@pytest.mark.parametrize("order", ["asc", "desc"])
+@pytest.mark.parametrize("start, pages", [(1, 1), (2, 3), (6, 2), (7, 2), (1, 8), (9, 3)])
+def test_deep_windows_are_the_same(catalogue, order, start, pages):
+    window = page_window(catalogue, f"score.{order}", "id", start, pages, page_size=4, top_rows=0)
+    assert [r[0] for r in rows(window, "id")] == expected(order, start, start + pages - 1)
+
+
+def test_no_last_page_by_default(spark):
+    frame = spark.range(60_000).repartition(16)
+    window = page_window(frame, "id.asc", "id", 2501, 2)
+    assert [r[0] for r in rows(window)] == list(range(50_000, 50_040))
+    # Of 60,000 rows only those of the ranges that the window touches are gathered.
+    assert window.sparkSession.read.parquet(window.inputFiles()[0].rsplit("/", 1)[0]).count() == 60_000
+    plan = window._jdf.queryExecution().optimizedPlan().toString()
+    assert " IN " in plan or "=" in plan
 
 
 def test_concat_keeps_duplicates_and_matches_by_name(spark):
