@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,14 +19,16 @@ from pyspark.sql import types as T
 from asterloom.llm import kernels as k
 from asterloom.sinks.scratch import new_scratch_dir
 
-CHUNK_BYTES = 4 << 20
+#: A little below a power of two, to which the tables of powers are rounded up.
+CHUNK_BYTES = 2_000_000
 #: Documents that Spark hands to Python at a time; its default of 10,000 takes too much memory.
-BATCH_ROWS = 1000
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
     """Set the session's Arrow batches to a size that suits rows with whole documents."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def stage(df: DataFrame, purpose: str) -> DataFrame:
@@ -52,6 +55,16 @@ def by_position(df: DataFrame) -> tuple[DataFrame, list[str]]:
     return df.toDF(*[f"c{i}" for i in range(len(names))]), names
 
 
+def squeeze(data: np.ndarray) -> bytes:
+    """Bytes, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(data).data)
+
+
+def unsqueeze(value: pa.Scalar) -> np.ndarray:
+    """The bytes of ``squeeze``."""
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(value.as_buffer()), np.uint8)
+
+
 def write_chunks(docs: DataFrame, text: str) -> DataFrame:
     """The chunks of the documents, written: the same chunks for each pass over them."""
     return stage(chunked(docs, text), "chunks")
@@ -60,7 +73,7 @@ def write_chunks(docs: DataFrame, text: str) -> DataFrame:
 def chunked(docs: DataFrame, text: str, size: int = CHUNK_BYTES) -> DataFrame:
     """``(chunk, rows, lengths, text)``: chunks of about ``size`` bytes of whole documents.
 
-    ``rows`` has the documents' other columns, ``lengths`` the bytes of each text (null text:
+    The text is compressed, which halves what is shuffled and held in rows. ``rows`` has the documents' other columns, ``lengths`` the bytes of each text (null text:
     null, counted as empty). A document longer than ``size`` makes a chunk of its own.
     """
     others = T.StructType([f for f in docs.schema.fields if f.name != text])
@@ -94,7 +107,7 @@ def chunked(docs: DataFrame, text: str, size: int = CHUNK_BYTES) -> DataFrame:
                 pa.array([base + number], pa.int64()),
                 one(row).cast(out.field("rows").type),
                 one(lengths),
-                pa.array([data.tobytes()], pa.binary()),
+                pa.array([squeeze(data)], pa.binary()),
             ]
             number += 1
             held, size_held = [], 0
@@ -133,8 +146,7 @@ class Chunk:
         self.lengths = batch.column("lengths")[i].values
         self.offsets = np.zeros(len(self.lengths) + 1, np.int64)
         np.cumsum(self.lengths.fill_null(0).to_numpy(zero_copy_only=False), out=self.offsets[1:])
-        value = batch.column("text")[i].as_buffer()
-        self.data = np.frombuffer(value, np.uint8) if value.size else np.zeros(0, np.uint8)
+        self.data = unsqueeze(batch.column("text")[i])
 
     def text(self, i: int) -> bytes:
         return self.data[self.offsets[i] : self.offsets[i + 1]].tobytes()
@@ -190,13 +202,14 @@ def cut(buckets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(buckets[order], np.arange(n + 1))
 
 
-def repeated(chunks: DataFrame, hashes: Callable, buckets: int, kind=np.uint64) -> DataFrame:
+def repeated(chunks: DataFrame, hashes: Callable, buckets: int, kind=np.uint64, crowd: int | None = None) -> DataFrame:
     """``(chunk, marks)``: which distinct hashes of each chunk stand in another chunk too.
 
     ``hashes(chunk)`` gives the hashes and the bucket of each. A chunk sends each of its hashes
     once, as one block of sorted hashes per bucket; a bucket counts the hashes of all chunks and
     answers each block with a bit per hash. So one hash that stands everywhere costs a bucket at
-    most one value per chunk.
+    most one value per chunk. With ``crowd`` a second bit tells which of them stand that often
+    or more in all chunks together.
     """
 
     def send(batches):
@@ -204,29 +217,39 @@ def repeated(chunks: DataFrame, hashes: Callable, buckets: int, kind=np.uint64)
             values, at = hashes(chunk)
             order, bounds = cut(at, buckets)
             values = values[order].astype(kind)
-            found = [(b, k.distinct_sorted(np.sort(values[bounds[b] : bounds[b + 1]]))) for b in range(buckets) if bounds[b] < bounds[b + 1]]
-            if found:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([b for b, _ in found], pa.int32()),
-                        pa.array([chunk.id] * len(found), pa.int64()),
-                        pa.array([v.tobytes() for _, v in found], pa.binary()),
-                    ],
-                    ["bucket", "chunk", "hashes"],
-                )
+            columns = [[], [], [], []]
+            for b in np.flatnonzero(bounds[1:] > bounds[:-1]):
+                own = np.sort(values[bounds[b] : bounds[b + 1]])
+                once = k.distinct_sorted(own)
+                n = b""
+                if crowd is not None:
+                    n = np.diff(np.searchsorted(own, once), append=len(own)).clip(max=65535).astype(np.uint16).tobytes()
+                for column, value in zip(columns, (b, chunk.id, once.tobytes(), n)):
+                    column.append(value)
+            kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds)], ["bucket", "chunk", "hashes", "counts"])
 
     def count(table: pa.Table) -> pa.Table:
         blocks = [np.frombuffer(x.as_buffer(), kind) for x in table.column("hashes")]
         again = k.twice_sorted(np.sort(np.concatenate(blocks)))
         bits = [k.in_sorted(b, again) for b in blocks]
-        keep = np.array([b.any() for b in bits])
-        table = table.select(["chunk", "bucket"]).filter(pa.array(keep))
-        marks = pa.array([np.packbits(b).tobytes() for b, x in zip(bits, keep) if x], pa.binary())
-        return table.append_column("bits", marks)
-
-    blocks = chunks.mapInArrow(send, "bucket int, chunk long, hashes binary")
-    answers = blocks.groupBy("bucket").applyInArrow(count, "chunk long, bucket int, bits binary")
-    return stage(answers, "repeated").groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits")).alias("marks"))
+        many = again[:0]
+        if crowd is not None:
+            total = np.zeros(len(again), np.int64)
+            for block, own, n in zip(blocks, bits, table.column("counts")):
+                total[np.searchsorted(again, block[own])] += np.frombuffer(n.as_buffer(), np.uint16)[own]
+            many = again[total >= crowd]
+        keep = [i for i, b in enumerate(bits) if b.any()]
+        packed = lambda b: np.packbits(b).tobytes()
+        crowded = [packed(b) if len(many) and (b := k.in_sorted(blocks[i], many)).any() else None for i in keep]
+        table = table.select(["chunk", "bucket"]).take(pa.array(keep, pa.int64()))
+        table = table.append_column("bits", pa.array([packed(bits[i]) for i in keep], pa.binary()))
+        return table.append_column("crowded", pa.array(crowded, pa.binary()))
+
+    blocks = chunks.mapInArrow(send, "bucket int, chunk long, hashes binary, counts binary")
+    answers = blocks.groupBy("bucket").applyInArrow(count, "chunk long, bucket int, bits binary, crowded binary")
+    answers = stage(answers, "repeated").groupBy("chunk")
+    return answers.agg(F.collect_list(F.struct("bucket", "bits", "crowded")).alias("marks"))
 
 
 def with_marks(chunks: DataFrame, marks: DataFrame) -> DataFrame:
@@ -235,16 +258,27 @@ def with_marks(chunks: DataFrame, marks: DataFrame) -> DataFrame:
 
 def is_repeated(values: np.ndarray, at: np.ndarray, buckets: int, marks, kind=np.uint64) -> np.ndarray:
     """Which hashes of a chunk stand twice or more, in the chunk itself or by its marks."""
-    order, bounds = cut(at, buckets)
-    values = values[order].astype(kind)
+    return _marked(values, at, buckets, marks, kind, "bits", True)
+
+
+def is_crowded(values: np.ndarray, at: np.ndarray, buckets: int, marks, kind=np.uint64) -> np.ndarray:
+    """Which hashes of a chunk make a crowd by its marks."""
+    return _marked(values, at, buckets, marks, kind, "crowded", False)
+
+
+def _marked(values, at, buckets, marks, kind, field: str, also_own: bool) -> np.ndarray:
     answers = {}
     if marks is not None and marks.is_valid:
-        answers = {m["bucket"]: m["bits"] for m in marks.as_py()}
+        answers = {m["bucket"]: m[field] for m in marks.as_py() if m[field] is not None}
+    if not answers and not also_own:
+        return np.zeros(len(values), bool)
+    order, bounds = cut(at, buckets)
+    values = values[order].astype(kind)
     found = np.zeros(len(values), bool)
     for b in np.flatnonzero(bounds[1:] > bounds[:-1]):
         own = values[bounds[b] : bounds[b + 1]]
         ordered = np.sort(own)
-        again = k.twice_sorted(ordered)
+        again = k.twice_sorted(ordered) if also_own else ordered[:0]
         if b in answers:
             once = k.distinct_sorted(ordered)
             bits = np.unpackbits(np.frombuffer(answers[b], np.uint8), count=len(once)).astype(bool)

@@ -21,6 +21,8 @@ from asterloom.llm import kernels as k
 WINDOW_BYTES = 50
 #: Bytes of candidate stretches in a shard, about, if a quarter of the corpus repeats.
 SHARD_BYTES = 1_500_000
+#: Stretches around one gram from which its windows are dealt by their own content instead.
+CROWD = 200_000
 BLOCK = 1 << 17
 
 
@@ -81,16 +83,26 @@ def gram_hashes(chunk: c.Chunk, width: int, buckets: int):
 
 
 class Candidates:
-    """The stretches of a chunk whose gram stands elsewhere, equal ones listed once by shard."""
+    """The stretches of a chunk whose gram stands elsewhere, equal ones listed once by shard.
+
+    Around a gram that very many stretches share, each window is a stretch of its own, dealt by
+    its content, so that no shard gets all texts around a frequent passage.
+    """
 
     def __init__(self, chunk: c.Chunk, width: int, buckets: int, shards: int, marks, key: str):
         starts, counts, grams = stretches(chunk, width)
         values, at = k.mix(grams) >> k.U(32), (k.mix(grams, 1) % k.U(buckets)).astype(np.int64)
         again = c.is_repeated(values, at, buckets, marks, np.uint32)
-        self.starts, self.counts, grams = starts[again], counts[again], grams[again]
+        crowded = c.is_crowded(values, at, buckets, marks, np.uint32)
+        roll = k.Rolling(k.BYTE_VALUES[chunk.data])
+        single = k.ranges(starts[crowded], counts[crowded])
+        again &= ~crowded
+        self.starts = np.concatenate([starts[again], single])
+        self.counts = np.concatenate([counts[again], np.ones(len(single), np.int64)])
+        grams = np.concatenate([grams[again], k.mix(roll(single, single + width), 5)])
         self.ids = chunk.keys(key)[np.searchsorted(chunk.offsets, self.starts, "right") - 1]
         lengths = self.counts + width - 1
-        content = k.mix(k.Rolling(k.BYTE_VALUES[chunk.data])(self.starts, self.starts + lengths) + lengths.astype(k.U))
+        content = k.mix(roll(self.starts, self.starts + lengths) + lengths.astype(k.U))
         order = np.argsort(content, kind="stable")
         ordered = content[order]
         new = np.ones(len(order), bool)
@@ -249,6 +261,7 @@ def remove_earlier_strings(
     width: int = WINDOW_BYTES,
     shard_bytes: int = SHARD_BYTES,
     whole_characters: bool = False,
+    crowd: int = CROWD,
 ) -> DataFrame:
     """The documents without the bytes in strings that also start in a document with a smaller id.
 
@@ -260,7 +273,8 @@ def remove_earlier_strings(
     table gives an empty table.
 
     A chunk sends equal stretches once, with the smallest id that has them, so a text that stands
-    in a third of all documents costs its shard one copy per chunk.
+    in a third of all documents costs its shard one copy per chunk. Different texts around one
+    passage that ``crowd`` stretches or more share are dealt to many shards.
     """
     total = c.text_bytes(docs, text)
     buckets = max(48, total // (18 * 1_500_000) + 1)
@@ -268,7 +282,7 @@ def remove_earlier_strings(
     frame, names = c.by_position(docs)
     here, key_column = f"c{names.index(text)}", f"c{names.index(key)}"
     chunks = c.write_chunks(frame, here)
-    marks = c.repeated(chunks, lambda chunk: gram_hashes(chunk, width, buckets), buckets, np.uint32)
+    marks = c.repeated(chunks, lambda chunk: gram_hashes(chunk, width, buckets), buckets, np.uint32, crowd)
     marked = c.with_marks(chunks, marks)
 
     def send(batches):
@@ -280,7 +294,7 @@ def remove_earlier_strings(
                 part = slice(own.bounds[s], own.bounds[s + 1])
                 lengths = own.n[part] + width - 1
                 data = chunk.data[k.ranges(own.starts[own.first[part]], lengths)]
-                for column, value in zip(columns, (s, chunk.id, data.tobytes(), lengths.astype(np.int32).tobytes(), own.min_id[part].tobytes())):
+                for column, value in zip(columns, (s, chunk.id, c.squeeze(data), lengths.astype(np.int32).tobytes(), own.min_id[part].tobytes())):
                     column.append(value)
             if len(full):
                 kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
@@ -291,7 +305,7 @@ def remove_earlier_strings(
         lengths = read("lengths", np.int32)
         per_row = np.array([len(x) for x in lengths])
         owner, offset, length, ids = first_documents(
-            np.concatenate(read("text", np.uint8)), np.concatenate(lengths).astype(np.int64), np.concatenate(read("ids", np.int64)), width
+            np.concatenate([c.unsqueeze(x) for x in table.column("text")]), np.concatenate(lengths).astype(np.int64), np.concatenate(read("ids", np.int64)), width
         )
         before = np.cumsum(per_row) - per_row
         row = np.searchsorted(before, owner, "right") - 1

@@ -12,8 +12,9 @@ from asterloom.llm.packing import pack
 from asterloom.llm.simhash import first_of_groups
 from asterloom.llm.suffix_dedup import remove_earlier_strings
 
-#: Documents whose best language has a lower probability are rejected, too.
-LEAST_SCORE = 0.5
+#: Documents whose best language has a lower probability are rejected, too; texts in two languages
+#: have one of about a half and stay.
+LEAST_SCORE = 0.3
 
 
 def _plain(docs: DataFrame) -> tuple[DataFrame, list[str], str, str]:

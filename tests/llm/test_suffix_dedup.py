@@ -44,6 +44,16 @@ def test_many_chunks(spark, monkeypatch):
     assert found(s.remove_earlier_strings(documents(spark, rows), width=24)) == brute(rows, 24)
 
 
+@pytest.mark.parametrize("crowd", [2, 5])
+def test_crowded_grams_are_dealt_by_window(spark, monkeypatch, crowd):
+    from asterloom.llm import chunks
+
+    monkeypatch.setattr(chunks.chunked, "__defaults__", (400,))
+    line = "the same long line that stands in very many documents, as it is"
+    rows = [(i, f"{t[:150]} {line} {t[100:300]}") for i, t in prose(5, 80)] + EDGES
+    assert found(s.remove_earlier_strings(documents(spark, rows), width=24, crowd=crowd)) == brute(rows, 24)
+
+
 def test_empty_table(spark):
     assert s.remove_earlier_strings(documents(spark, [])).collect() == []
 
