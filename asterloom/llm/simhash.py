@@ -50,11 +50,11 @@ def majority(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.packbits(2 * ones > counts[:, None], axis=1).view(">u8").astype(k.U).ravel()
 
 
-def fingerprints(docs: DataFrame, text: str = "text", words: int = SHINGLE_WORDS, keep_text: bool = False) -> DataFrame:
-    """The documents with ``fingerprint`` (the 64 bits as a long) in place of the text, or beside it."""
+def fingerprints(docs: DataFrame, text: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
+    """The documents with ``fingerprint`` (the 64 bits as a long) in place of the text."""
     frame, names = by_position(docs)
     here = names.index(text)
-    keep = [j for j in range(len(names)) if keep_text or j != here]
+    keep = [j for j in range(len(names)) if j != here]
     fields = [*[frame.schema.fields[j] for j in keep], T.StructField("fingerprint", T.LongType())]
     out = arrow_schema(fields)
 
@@ -154,9 +154,9 @@ def links(distinct: DataFrame, radius: int = RADIUS, blocks: int = 4, tile: int
     return pairs.select("prints", "other").mapInArrow(compare, "a long, b long")
 
 
-def _grouped(frame: DataFrame, key: str, text: str, words: int, radius: int, keep_text: bool) -> DataFrame:
-    """The frame with ``fingerprint``, ``root`` (a fingerprint, for each component) and ``component_id``."""
-    prints = stage(fingerprints(frame, text, words, keep_text), "fingerprints")
+def _grouped(frame: DataFrame, key: str, text: str, words: int, radius: int) -> DataFrame:
+    """The frame without text, with ``fingerprint``, ``root`` (a fingerprint, for each component) and ``component_id``."""
+    prints = stage(fingerprints(frame, text, words), "fingerprints")
     distinct = stage(prints.groupBy("fingerprint").agg(F.min(key).alias("least")), "distinct")
     found = stage(components(stage(links(distinct, radius), "links")), "components")
     roots = distinct.join(found, distinct.fingerprint == found.node, "left")
@@ -181,7 +181,7 @@ def near_duplicates(
     """
     frame, names = by_position(docs)
     keep = [j for j, n in enumerate(names) if n != text]
-    out = _grouped(frame, f"c{names.index(key)}", f"c{names.index(text)}", words, radius, False)
+    out = _grouped(frame, f"c{names.index(key)}", f"c{names.index(text)}", words, radius)
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint")
     out = out.select(*[f"c{j}" for j in keep], digits, "component_id")
     return out.toDF(*[names[j] for j in keep], "fingerprint", "component_id")
@@ -190,13 +190,18 @@ def near_duplicates(
 def first_of_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
     """One document of each component of ``near_duplicates``: that with the smallest key.
 
-    Null keys come last, and ties are broken by fingerprint and text; of repeated rows one stays.
-    The columns are those of the input. A task sends on at most one document per component, so
-    large components cost what small ones do.
+    Null keys come last, and ties are broken by fingerprint and a hash of the text; of repeated
+    rows one stays. The columns are those of the input. The choice is made without the texts,
+    which are then shuffled once; a component costs each task one row, however large it is.
     """
     frame, names = by_position(docs)
     k_, t_ = f"c{names.index(key)}", f"c{names.index(text)}"
-    out = _grouped(frame, k_, t_, words, radius, True)
-    order = Window.partitionBy("root").orderBy(F.col(k_).asc_nulls_last(), "fingerprint", t_)
-    out = out.withColumn("place", F.row_number().over(order)).filter("place = 1")
-    return out.select(*frame.columns).toDF(*names)
+    same_key = F.coalesce(F.col(k_).cast("string"), F.lit("")).alias("same_key")
+    marked = frame.select("*", same_key, F.xxhash64(t_).alias("same_text"))
+    grouped = _grouped(marked.select(k_, t_, "same_key", "same_text"), k_, t_, words, radius)
+    row = F.struct(F.col(k_).isNull().alias("none"), F.col(k_).alias("key"), "fingerprint", "same_text", "same_key")
+    first = grouped.groupBy("root").agg(F.min(row).alias("row")).select("row.same_key", "row.same_text")
+    kept = marked.join(stage(first, "first"), ["same_key", "same_text"], "left_semi")
+    place = F.row_number().over(Window.partitionBy("same_key", "same_text").orderBy(F.lit(0)))
+    kept = kept.withColumn("place", place).filter("place = 1")
+    return kept.select(*frame.columns).toDF(*names)

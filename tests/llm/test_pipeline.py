@@ -45,6 +45,12 @@ def test_one_of_each_near_group_stays(spark):
     assert (None in kept) == any(g is None for _, _, g in groups)
 
 
+def test_repeated_rows_are_one_document(spark):
+    rows = [(1, "a b c"), (1, "a b c"), (None, "q r s"), (None, "q r s"), (None, None), (2, None), (3, "A B C")]
+    out = c.simhash_near_dedup(spark, documents(spark, rows), "")
+    assert texts(out) == sorted([(1, "a b c"), (None, "q r s"), (2, None)], key=str)
+
+
 def test_earlier_strings_are_cut(spark):
     docs = documents(spark, ROWS, ["kept", "n_removed"])
     out = c.suffix_array_dedup(spark, docs, "")
