@@ -25,16 +25,32 @@ CHUNK_BYTES = 2_000_000
 BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 
 
+#: Whether the shuffle files of a query go when it ends, not when the driver collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def small_batches(spark: SparkSession) -> None:
     """Set the session's Arrow batches to a size that suits rows with whole documents."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
-def stage(df: DataFrame, purpose: str) -> DataFrame:
-    """Write a frame to the shared scratch folder and read it back, with its lineage cut."""
-    path = new_scratch_dir(df.sparkSession, purpose)
-    df.write.option("compression", "zstd").parquet(path)
+def stage(df: DataFrame, purpose: str, small: bool = False) -> DataFrame:
+    """Write a frame to the shared scratch folder and read it back, with its lineage cut.
+
+    ``small`` tells that the rows are few beside what they are made from: they are brought
+    together first, so that not every task leaves a file. The shuffle files behind the frame go
+    as soon as it is written, as nothing reads them again.
+    """
+    spark = df.sparkSession
+    path = new_scratch_dir(spark, purpose)
+    df = df.hint("rebalance") if small else df
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -111,6 +127,7 @@ def chunked(docs: DataFrame, text: str, size: int = CHUNK_BYTES) -> DataFrame:
             ]
             number += 1
             held, size_held = [], 0
+            k.release_memory()
             yield pa.RecordBatch.from_arrays(columns, schema=out)
 
         for batch in batches:
@@ -166,6 +183,7 @@ def each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Chunk, pa.RecordBa
     for batch in batches:
         for i in range(len(batch)):
             yield Chunk(batch, i), batch, i
+        k.release_memory()
 
 
 def chunk_schema(chunks: DataFrame) -> list[T.StructField]:
@@ -244,11 +262,12 @@ def repeated(chunks: DataFrame, hashes: Callable, buckets: int, kind=np.uint64,
         crowded = [packed(b) if len(many) and (b := k.in_sorted(blocks[i], many)).any() else None for i in keep]
         table = table.select(["chunk", "bucket"]).take(pa.array(keep, pa.int64()))
         table = table.append_column("bits", pa.array([packed(bits[i]) for i in keep], pa.binary()))
+        k.release_memory()
         return table.append_column("crowded", pa.array(crowded, pa.binary()))
 
     blocks = chunks.mapInArrow(send, "bucket int, chunk long, hashes binary, counts binary")
     answers = blocks.groupBy("bucket").applyInArrow(count, "chunk long, bucket int, bits binary, crowded binary")
-    answers = stage(answers, "repeated").groupBy("chunk")
+    answers = stage(answers, "repeated", small=True).groupBy("chunk")
     return answers.agg(F.collect_list(F.struct("bucket", "bits", "crowded")).alias("marks"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -23,6 +25,14 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system, which a worker would keep for its next task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim is not None:
+        trim(0)
+
+
 def mix(h: np.ndarray, seed: int = 0) -> np.ndarray:
     """Spread 64-bit values: every input bit reaches every output bit."""
     h = (h + U((_MULTIPLIER * (2 * seed + 1)) & (2**64 - 1))) * U(0xBF58476D1CE4E5B9)

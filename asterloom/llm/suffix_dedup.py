@@ -316,10 +316,11 @@ def remove_earlier_strings(
         packed = pa.array(
             [np.stack([owner[p] - before[r], offset[p], length[p], ids[p]]).astype(np.int64).tobytes() for r, p in zip(some, parts)], pa.binary()
         )
+        k.release_memory()
         return out.append_column("found", packed)
 
     requests = marked.mapInArrow(send, "shard int, chunk long, text binary, lengths binary, ids binary")
-    answers = c.stage(requests.groupBy("shard").applyInArrow(solve, "chunk long, shard int, found binary"), "suffixes")
+    answers = c.stage(requests.groupBy("shard").applyInArrow(solve, "chunk long, shard int, found binary"), "suffixes", small=True)
     answers = answers.groupBy("chunk").agg(F.collect_list(F.struct("shard", "found")).alias("answers"))
 
     def apply(chunk, batch, i):
