@@ -8,6 +8,7 @@ paths that score well below the best one are left out.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import numpy as np
@@ -27,51 +28,74 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data dfn em font i ins kbd label mark q rp rt ruby s samp small span strike"
     " strong sub sup time tt u var wbr".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that hold no main text, whatever is in them.
 SKIPPED = frozenset(
-    "script style noscript template iframe object svg math canvas audio video nav header footer aside form button select"
-    " textarea input dialog menu head title del".split()
+    "script style noscript template iframe object svg math canvas audio video button select textarea input head title del".split()
+)
+#: Elements that are left out unless they turn out to wrap the main text.
+MARKED = frozenset("nav header footer aside form dialog menu".split())
+#: Classes, ids and roles that mark what is not the main text: a word, a word with what it is a part of, or with the part.
+DISCUSSION = r"comments?|commentlist|disqus|repl(?:y|ies)|respond"
+WORDS = (
+    r"ads?|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|promo(?:tion)?s?|banners?|cookies?|consent|gdpr|notices?|alerts?|navs?|navbar|"
+    r"navigation|menus?|sidebars?|aside|footers?|breadcrumbs?|pagination|pager|share|sharing|social|related|recommended|newsletter|subscribe|"
+    r"subscription|signup|login|popup|modal|overlay|widgets?|search|" + DISCUSSION
+)
+PLACES = r"site|page|main|top|bottom|left|right|primary|secondary|global|mobile|desktop|blog|post|entry|article|user|reader|social|google|cookie"
+PARTS = (
+    r"area|bars?|banners?|box|buttons?|columns?|consent|container|form|icons?|inner|items?|links?|lists?|menu|modal|nav|navigation|notice|overlay|panel|"
+    r"popup|posts?|articles?|stories|section|share|sidebar|signup|slots?|threads?|toggle|units?|widgets?|wrap|wrapper"
 )
-#: Words in a class, id or role that mark what is not the main text.
 BOILERPLATE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|promo(?:tion)?s?|banners?|cookies?|consent|gdpr|notices?|"
-    r"alerts?|navs?|navbar|navigation|menus?|sidebars?|aside|footers?|masthead|header|site-header|page-header|topbar|toolbar|"
-    r"breadcrumbs?|pagination|pager|comments?|commentlist|disqus|repl(?:y|ies)|respond|share|sharing|social|related|recommended|"
-    r"newsletter|subscribe|subscription|signup|login|popup|modal|overlay|widgets?|search|contentinfo|complementary|skip-link)(?:$|[\s_-])",
+    rf"(?:(?:{PLACES})-)?(?:{WORDS})(?:-(?:{PARTS}))?|(?:(?:site|page|main|top|global|mobile|desktop)-)?header|header-(?:bars?|banners?|links?|menu|nav)|"
+    r"masthead|topbar|toolbar|contentinfo|complementary|skip-link",
     re.IGNORECASE,
 )
+TALK = re.compile(rf"(?:(?:{PLACES})-)?(?:{DISCUSSION})(?:-(?:{PARTS}))?", re.IGNORECASE)
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：·¿¡]")
 #: What an opening tag closes: paragraphs end where a block begins, items where the next begins.
 CLOSES_SAME = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
 
 
+@lru_cache(maxsize=10_000)
+def marked(values: tuple[str, ...]) -> str:
+    """Whether a class, id or role marks an element as "talk" or "other" boilerplate."""
+    tokens = [re.sub("[_-]+", "-", x).strip("-") for v in values for x in v.split()]
+    if any(TALK.fullmatch(x) for x in tokens):
+        return "talk"
+    return "other" if any(BOILERPLATE.fullmatch(x) for x in tokens) else ""
+
+
 class Blocks(HTMLParser):
-    """The text blocks of a page: path, text, characters in links, whether in an article."""
+    """The text blocks of a page: path, text, characters in links, whether in an article, element."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, str, bool, bool]] = []
-        self.blocks: list[tuple[str, str, int, bool]] = []
+        self.stack: list[tuple[str, str, bool, bool, int]] = []
+        self.blocks: list[tuple[str, str, int, bool, int]] = []
+        #: Unskipped block elements after the page itself: parent, tag, mark, whether in an article.
+        self.elements: list[tuple[int, str, str, bool]] = [(0, "", "", False)]
         self.text: list[str] = []
         self.linked = 0
 
     def state(self):
-        return self.stack[-1] if self.stack else ("", "", False, False)
+        return self.stack[-1] if self.stack else ("", "", False, False, 0)
 
     def flush(self):
         if self.text:
             value = " ".join("".join(self.text).split())
-            _, path, skipped, inside = self.block_state()
+            _, path, skipped, inside, element = self.block_state()
             if value and not skipped:
-                self.blocks.append((path, value, self.linked, inside))
+                self.blocks.append((path, value, self.linked, inside, element))
         self.text, self.linked = [], 0
 
     def block_state(self):
         for entry in reversed(self.stack):
             if entry[0] not in INLINE:
                 return entry
-        return ("", "", False, False)
+        return ("", "", False, False, 0)
 
     def pop_to(self, place: int):
         if any(e[0] not in INLINE for e in self.stack[place:]):
@@ -98,13 +122,19 @@ class Blocks(HTMLParser):
                         break
         if tag in VOID:
             return
-        _, path, skipped, inside = self.state()
+        _, path, skipped, inside, element = self.block_state() if tag in ("article", "main", "h1") else self.state()
+        mark = ""
         if not skipped:
-            marks = " ".join(v or "" for k, v in attrs if k in ("class", "id", "role"))
+            # The id of a heading names its subject.
+            names = ("class", "role") if tag in HEADINGS else ("class", "id", "role")
+            mark = "" if tag in ("html", "body", "article", "main") else marked(tuple(v for k, v in attrs if v and k in names))
             hidden = any(k == "hidden" or k == "aria-hidden" and v == "true" for k, v in attrs)
-            skipped = tag in SKIPPED or hidden or bool(tag not in ("html", "body", "article", "main") and marks and BOILERPLATE.search(marks))
+            skipped = tag in SKIPPED or hidden or bool(mark and tag in INLINE)
+        if not skipped and tag not in INLINE:
+            self.elements.append((element, tag, mark, inside))
+            element = len(self.elements) - 1
         inside = inside or tag in ("article", "main")
-        self.stack.append((tag, path if tag in INLINE else f"{path}/{tag}", skipped, inside))
+        self.stack.append((tag, path if tag in INLINE else f"{path}/{tag}", skipped, inside, element))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -128,13 +158,54 @@ class Blocks(HTMLParser):
                 self.linked += len(data.strip())
 
 
+def unmarked(elements: list[tuple[int, str, str, bool]], blocks: list[tuple[str, str, int, bool, int]]) -> list[tuple[str, str, int, bool, int]]:
+    """The blocks in no element that is left out by its name or mark.
+
+    What wraps the main text is never left out: by mark, what has a main, a h1, the page's
+    longest article or more than half of its text in it. Readers' comments need a main, a h1 or the only
+    articles of the page; forms count as marked. Other elements left out by name need a main or, as headers
+    in an article, a h1.
+    """
+    if not any(mark or tag in MARKED for _, tag, mark, _ in elements):
+        return blocks
+    n = len(elements)
+    size, articles, headings, mains = [0] * n, [0] * n, [0] * n, [0] * n
+    for block in blocks:
+        size[block[4]] += len(block[1])
+    for i in range(n - 1, 0, -1):
+        parent, tag = elements[i][:2]
+        articles[i] += tag == "article"
+        headings[i] += tag == "h1"
+        mains[i] += tag == "main"
+        for count in (size, articles, headings, mains):
+            count[parent] += count[i]
+    longest, at = max(((size[i], -i) for i in range(1, n) if elements[i][1] == "article"), default=(0, 0))
+    wraps = set()
+    while at:
+        wraps.add(-at)
+        at = -elements[-at][0]
+    out = [False] * n
+    for i in range(1, n):
+        parent, tag, mark, inside = elements[i]
+        if tag in MARKED and tag != "form":
+            left = not mains[i] and not (tag == "header" and inside and headings[i])
+        elif mark == "talk":
+            left = not mains[i] and not headings[i] and (inside or mains[0] > 0 or articles[i] < max(1, articles[0]))
+        elif mark or tag == "form":
+            left = not mains[i] and not headings[i] and i not in wraps and 2 * size[i] <= size[0]
+        else:
+            left = False
+        out[i] = left or out[parent]
+    return [b for b in blocks if not out[b[4]]]
+
+
 def smoothed(values: np.ndarray) -> np.ndarray:
     half = len(KERNEL) // 2
     weight = np.convolve(np.ones(len(values)), KERNEL)[half:-half]
     return np.convolve(values, KERNEL)[half:-half] / weight
 
 
-def chosen(blocks: list[tuple[str, str, int, bool]]) -> list[str]:
+def chosen(blocks: list[tuple[str, str, int, bool, int]]) -> list[str]:
     """The texts of the blocks whose paths are content."""
     inside = np.array([b[3] for b in blocks])
     share, own = ELSEWHERE
@@ -160,14 +231,16 @@ def main_text(html: str) -> str:
     parser.feed(html)
     parser.close()
     parser.flush()
-    return " ".join(chosen(parser.blocks)) if parser.blocks else ""
+    blocks = unmarked(parser.elements, parser.blocks)
+    return " ".join(chosen(blocks)) if blocks else ""
 
 
 def extract_text(pages: DataFrame, html: str = "html") -> DataFrame:
     """The pages with ``text`` and ``n_chars`` (code points) in place of the html.
 
     Menus, headers, footers, side columns, notices, adverts, forms, scripts, styles and reader
-    comments are left out by element, class, id and role; of the rest, blocks are chosen by their
+    comments are left out by element and by whole words of class, id and role, but not if they wrap
+    the main text (see ``unmarked``); of the rest, blocks are chosen by their
     path's score. If a page has an article or main element, only blocks in one are considered.
     Character references are decoded, white space in a block becomes one space, and blocks are
     joined by one space in page order. Null and empty pages, and pages without text, have an

@@ -57,3 +57,28 @@ def test_whole_articles_of_the_test_pages(spark, sf_dir):
 
 def test_smoothing_keeps_constants():
     assert np.allclose(h.smoothed(np.full(9, 3.0)), 3) and np.allclose(h.smoothed(np.array([2.0])), 2)
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<div class='layout has-sidebar'><article><p>{PROSE}</p></article></div>",
+        f"<div class='content with-comments'><article><p>{PROSE}</p></article></div>",
+        f"<div class='page no-header'><article><p>{PROSE}</p></article></div>",
+        f"<div class='widget'><article><p>{PROSE}</p></article></div><div>Us</div>",
+        f"<main><div class='sidebar'><article><p>{PROSE}</p></article></div></main>",
+        f"<div id=search><p>{PROSE}</p></div>",
+        f"<form id=aspnet><article><p>{PROSE}</p></article></form>",
+        f"<article><p>{PROSE}</p></article><div class='comment-list'><article><p>{PROSE} {PROSE}</p></article></div>",
+        f"<article><p>{PROSE}</p><div class=related_posts><p>{PROSE}</p></div></article>",
+        f"<article><p>{PROSE}</p><p><span class=ad>No.</span></p></article>",
+    ],
+)
+def test_wrappers_are_no_boilerplate(page):
+    assert h.main_text(page) == PROSE
+
+
+def test_parts_of_an_article_are_kept():
+    for title in ("<div class='article-header'><h1>Title</h1></div>", "<header><h1>Title</h1></header>", "<div class=banner><h1>Title</h1></div>"):
+        assert h.main_text(f"<article>{title}<p>{PROSE}</p></article>") == f"Title {PROSE}"
+    assert h.main_text(f"<article><p>{PROSE}</p><section id='related-work'><h2 id=search>Search</h2><p>{PROSE}</p></section></article>") == f"{PROSE} Search {PROSE}"
