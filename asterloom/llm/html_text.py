@@ -2,7 +2,7 @@
 
 All text blocks of a page are grouped by the path of tags that leads to them. Text length and
 punctuation per block of a path are smoothed over the page, fused into one score per path, and
-paths that score well below the best one are left out.
+paths that score well below the best one are left out, but for blocks that stand among kept ones.
 """
 
 from __future__ import annotations
@@ -29,6 +29,12 @@ INLINE = frozenset(
     " strong sub sup time tt u var wbr".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that are text or lists and tables of it, not containers of other blocks.
+TEXTUAL = HEADINGS | frozenset(
+    "p ul ol menu li dl dt dd table caption colgroup thead tbody tfoot tr td th blockquote pre figure figcaption hgroup address details summary".split()
+)
+#: Elements that hold the whole page.
+PAGE = frozenset(["", "html", "body"])
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that hold no main text, whatever is in them.
 SKIPPED = frozenset(
@@ -205,11 +211,12 @@ def smoothed(values: np.ndarray) -> np.ndarray:
     return np.convolve(values, KERNEL)[half:-half] / weight
 
 
-def chosen(blocks: list[tuple[str, str, int, bool, int]]) -> list[str]:
-    """The texts of the blocks whose paths are content."""
+def chosen(elements: list[tuple[int, str, str, bool]], blocks: list[tuple[str, str, int, bool, int]]) -> list[str]:
+    """The texts of the blocks whose paths are content, and of those that belong to them."""
     inside = np.array([b[3] for b in blocks])
     share, own = ELSEWHERE
-    if inside.any():
+    restricted = bool(inside.any())
+    if restricted:
         blocks, (share, own) = [b for b in blocks if b[3]], INSIDE
     names = {p: j for j, p in enumerate(dict.fromkeys(b[0] for b in blocks))}
     path = np.array([names[b[0]] for b in blocks])
@@ -221,8 +228,62 @@ def chosen(blocks: list[tuple[str, str, int, bool, int]]) -> list[str]:
         ratio = (np.bincount(path, values) / n)[path] + least
         fused *= ratio**own * smoothed(ratio) ** (1 - own)
     score = np.bincount(path, fused) / n
-    keep = score >= share * score.max()
-    return [b[1] for b, j in zip(blocks, path) if keep[j]]
+    keep = (score >= share * score.max())[path]
+    if not keep.all():
+        keep = with_company(elements, blocks, keep.tolist(), restricted)
+    return [b[1] for b, kept in zip(blocks, keep) if kept]
+
+
+def with_company(elements: list[tuple[int, str, str, bool]], blocks: list[tuple[str, str, int, bool, int]], keep: list[bool], restricted: bool) -> list[bool]:
+    """Which blocks to keep if those of ``keep`` are: short ones of the main text have poor paths, too.
+
+    The root is the innermost container with more than half of the kept text. Kept as well are all blocks
+    that are not mostly links in an article or in the root (if the root is the page: between kept blocks or in a
+    container that has some), blocks of links between kept ones or in a container that has some (if that
+    is the page: between its kept ones or under a heading), any h1, and headings of kept blocks.
+    """
+    n = len(elements)
+    size = [0] * n
+    for b, kept in zip(blocks, keep):
+        size[b[4]] += len(b[1]) * kept
+    for i in range(n - 1, 0, -1):
+        size[elements[i][0]] += size[i]
+    home, within = list(range(n)), [False] * n
+    for i in range(1, n):
+        if elements[i][1] in TEXTUAL:
+            home[i] = home[elements[i][0]]
+    root = home[max(i for i in range(n) if 2 * size[i] > size[0])]
+    for i in range(n):
+        within[i] = i == root or i > 0 and within[elements[i][0]]
+    whole_page = elements[root][1] in PAGE
+    homes = [home[b[4]] for b in blocks]
+    ends: dict[int, tuple[int, int]] = {}
+    for i, kept in enumerate(keep):
+        if kept:
+            ends[homes[i]] = (ends.get(homes[i], (i, i))[0], i)
+    at = [i for i, b in enumerate(blocks) if keep[i] and within[b[4]]]
+    linked = [2 * b[2] > len(b[1]) for b in blocks]
+    out = list(keep)
+    for i, b in enumerate(blocks):
+        if not linked[i]:
+            near = within[b[4]] and (not whole_page or at[0] < i < at[-1] or homes[i] in ends)
+            out[i] = out[i] or restricted or near or elements[b[4]][1] == "h1"
+    company = {homes[i] for i, kept in enumerate(out) if kept}
+    headed = -1
+    for i, b in enumerate(blocks):
+        if not linked[i] or homes[i] != headed:
+            headed = homes[i] if out[i] and elements[b[4]][1] in HEADINGS else -1
+        if linked[i] and not out[i]:
+            between = within[b[4]] and at[0] < i < at[-1] and (restricted or not whole_page)
+            if elements[homes[i]][1] in PAGE:
+                near = homes[i] in ends and (ends[homes[i]][0] < i < ends[homes[i]][1] or headed >= 0)
+            else:
+                near = homes[i] in company
+            out[i] = between or near or elements[b[4]][1] == "h1"
+    for i in range(len(blocks) - 2, -1, -1):
+        if elements[blocks[i][4]][1] in HEADINGS:
+            out[i] = out[i] or out[i + 1]
+    return out
 
 
 def main_text(html: str) -> str:
@@ -232,7 +293,7 @@ def main_text(html: str) -> str:
     parser.close()
     parser.flush()
     blocks = unmarked(parser.elements, parser.blocks)
-    return " ".join(chosen(blocks)) if blocks else ""
+    return " ".join(chosen(parser.elements, blocks)) if blocks else ""
 
 
 def extract_text(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -241,7 +302,8 @@ def extract_text(pages: DataFrame, html: str = "html") -> DataFrame:
     Menus, headers, footers, side columns, notices, adverts, forms, scripts, styles and reader
     comments are left out by element and by whole words of class, id and role, but not if they wrap
     the main text (see ``unmarked``); of the rest, blocks are chosen by their
-    path's score. If a page has an article or main element, only blocks in one are considered.
+    path's score; headings, lists, tables and other short blocks of the main text stay with it (see
+    ``with_company``). If a page has an article or main element, only blocks in one are considered.
     Character references are decoded, white space in a block becomes one space, and blocks are
     joined by one space in page order. Null and empty pages, and pages without text, have an
     empty text; repeated rows stay; an empty table gives an empty table.

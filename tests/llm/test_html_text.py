@@ -82,3 +82,29 @@ def test_parts_of_an_article_are_kept():
     for title in ("<div class='article-header'><h1>Title</h1></div>", "<header><h1>Title</h1></header>", "<div class=banner><h1>Title</h1></div>"):
         assert h.main_text(f"<article>{title}<p>{PROSE}</p></article>") == f"Title {PROSE}"
     assert h.main_text(f"<article><p>{PROSE}</p><section id='related-work'><h2 id=search>Search</h2><p>{PROSE}</p></section></article>") == f"{PROSE} Search {PROSE}"
+
+
+LONG = f"{PROSE} {PROSE} {PROSE} {PROSE}"
+ITEMS = " ".join(f"<li>item number {i:02}" for i in range(20))
+LINKS = " ".join(f"<li><a href={i}>Reference {i:02}</a>" for i in range(20))
+CELLS = "".join(f"<tr><td>cell{i}a<td>cell{i}b<td>cell{i}c" for i in range(8))
+PARTS = {
+    "long list": f"<p>{LONG}</p><ul>{ITEMS}</ul><p>{LONG}</p>",
+    "list at the end": f"<p>{LONG}</p><p>{LONG}</p><ul>{ITEMS}</ul>",
+    "table": f"<p>{LONG}</p><table>{CELLS}</table><p>{LONG}</p>",
+    "table in a wrapper": f"<p>{LONG}</p><div class=scrolls><table>{CELLS}</table></div><p>{LONG}</p>",
+    "headings": f"<h1>Title</h1><p>{LONG}</p><h2>Part one</h2><p>{LONG}</p><h2>Part two</h2><h3>Start</h3><p>{LONG}</p>",
+    "links only": f"<p>{LONG}</p><ul>{LINKS}</ul><p>{LONG}</p>",
+    "links at the end": f"<p>{LONG}</p><p>{LONG}</p><h2>References</h2><ol>{LINKS}</ol>",
+}
+
+
+@pytest.mark.parametrize("wrapper", ["<article>%s</article>", "<main><div>%s</div></main>", "<div class=text>%s</div>", "%s"])
+@pytest.mark.parametrize("name", PARTS)
+def test_nothing_of_the_text_is_dropped(name, wrapper):
+    page = "<div class=top><ul><li><a href=1>One</a><li><a href=2>Two</a></ul></div>" + wrapper % PARTS[name] + "<div>(c) Us</div>"
+    assert h.main_text(page) == " ".join(re.sub("<[^>]*>", " ", PARTS[name]).split())
+
+
+def test_title_apart_from_the_text():
+    assert h.main_text(f"<div><h1>Title</h1></div><div><p>{LONG}</p><p>{LONG}</p></div>") == f"Title {LONG} {LONG}"
