@@ -25,7 +25,7 @@ INSIDE, ELSEWHERE = (0.03, 0.0), (0.25, 0.5)
 KERNEL = np.array([0.1, 0.2, 0.4, 0.2, 0.1])
 
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data dfn em font i ins kbd label mark q rp rt ruby s samp small span strike"
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike"
     " strong sub sup time tt u var wbr".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -38,8 +38,10 @@ PAGE = frozenset(["", "html", "body"])
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that hold no main text, whatever is in them.
 SKIPPED = frozenset(
-    "script style noscript template iframe object svg math canvas audio video button select textarea input head title del".split()
+    "script style noscript template iframe object svg math canvas audio video button select textarea input head title".split()
 )
+#: What can stand in a head; anything else closes one that was left open.
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 #: Elements that are left out unless they turn out to wrap the main text.
 MARKED = frozenset("nav header footer aside form dialog menu".split())
 #: Classes, ids and roles that mark what is not the main text: a word, a word with what it is a part of, or with the part.
@@ -108,7 +110,13 @@ class Blocks(HTMLParser):
             self.flush()
         del self.stack[place:]
 
+    def close_head(self):
+        if self.stack and self.stack[-1][0] == "head":
+            self.pop_to(len(self.stack) - 1)
+
     def handle_starttag(self, tag, attrs):
+        if tag not in IN_HEAD:
+            self.close_head()
         if tag not in INLINE:
             self.flush()
             for i in range(len(self.stack) - 1, -1, -1):
@@ -158,6 +166,8 @@ class Blocks(HTMLParser):
             self.flush()
 
     def handle_data(self, data):
+        if data.strip():
+            self.close_head()
         if not self.state()[2]:
             self.text.append(data)
             if any(e[0] == "a" for e in self.stack):
@@ -215,7 +225,10 @@ def chosen(elements: list[tuple[int, str, str, bool]], blocks: list[tuple[str, s
     """The texts of the blocks whose paths are content, and of those that belong to them."""
     inside = np.array([b[3] for b in blocks])
     share, own = ELSEWHERE
-    restricted = bool(inside.any())
+    plain = np.array([max(0, len(b[1]) - b[2]) for b in blocks], float)
+    if not plain.any():
+        plain = np.array([len(b[1]) for b in blocks], float)
+    restricted = bool(2 * plain[inside].sum() > plain.sum())
     if restricted:
         blocks, (share, own) = [b for b in blocks if b[3]], INSIDE
     names = {p: j for j, p in enumerate(dict.fromkeys(b[0] for b in blocks))}
@@ -303,7 +316,8 @@ def extract_text(pages: DataFrame, html: str = "html") -> DataFrame:
     comments are left out by element and by whole words of class, id and role, but not if they wrap
     the main text (see ``unmarked``); of the rest, blocks are chosen by their
     path's score; headings, lists, tables and other short blocks of the main text stay with it (see
-    ``with_company``). If a page has an article or main element, only blocks in one are considered.
+    ``with_company``). If articles and mains hold most of its text (without links), only blocks
+    in them are considered.
     Character references are decoded, white space in a block becomes one space, and blocks are
     joined by one space in page order. Null and empty pages, and pages without text, have an
     empty text; repeated rows stay; an empty table gives an empty table.

@@ -108,3 +108,19 @@ def test_nothing_of_the_text_is_dropped(name, wrapper):
 
 def test_title_apart_from_the_text():
     assert h.main_text(f"<div><h1>Title</h1></div><div><p>{LONG}</p><p>{LONG}</p></div>") == f"Title {LONG} {LONG}"
+
+
+def test_teaser_card_is_not_the_page():
+    card = "<article><h3>Teaser</h3><p>Read on, here.</p></article>"
+    assert LONG + " " + LONG in h.main_text(f"<div class=text><p>{LONG}</p><p>{LONG}</p></div><div class=cards>{card}</div>")
+    assert h.main_text(f"<article><p>{LONG}</p></article><div><p>{PROSE}</p></div>") == LONG
+
+
+@pytest.mark.parametrize("start", ["<body>", "<div>", "<p>", "<b>", ""])
+def test_head_without_an_end(start):
+    page = f"<html><head><meta charset=utf-8><title>No</title><script>no()</script><noscript><img></noscript>\n{start}{PROSE}"
+    assert h.main_text(page) == PROSE
+
+
+def test_deleted_text_is_kept():
+    assert h.main_text(f"<article><p>{PROSE} <del>Gone</del>by.</p><del><p>{PROSE}</p></del></article>") == f"{PROSE} Goneby. {PROSE}"
