@@ -8,6 +8,7 @@ the earlier categories; while training these come from models that have not seen
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -151,8 +152,8 @@ def _distinct_words(texts: pa.Array, step: int = 200):
 def train(texts: pa.Array, labels: np.ndarray, categories: list[str]) -> Chain:
     """A chain for the columns of ``labels`` (0 or 1), in their order.
 
-    Of texts whose three smallest word hashes agree (copies, mostly) only the first counts, or
-    their common labels would be learned by heart. Folds are dealt by position.
+    Of texts with the same set of words and the same labels only the first counts, or their common
+    labels would be learned by heart. Folds are dealt by position.
 
     Words are first counted in hash buckets, then exactly for the buckets that tell something,
     so that the words of all texts are never held at once.
@@ -162,7 +163,7 @@ def train(texts: pa.Array, labels: np.ndarray, categories: list[str]) -> Chain:
     for at, doc, hashes in _distinct_words(texts):
         bounds = np.searchsorted(doc, np.arange(doc[-1] + 2 if len(doc) else 1))
         for i, (low, high) in enumerate(zip(bounds[:-1], bounds[1:])):
-            own = tuple(hashes[low : min(low + 3, high)].tolist())
+            own = blake2b(hashes[low:high].tobytes(), digest_size=16).digest(), labels[at + i].tobytes()
             keep[at + i] = own not in seen
             seen.add(own)
         used = keep[at + doc]

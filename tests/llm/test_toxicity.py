@@ -63,6 +63,25 @@ def test_nothing_to_learn_and_empty_tables(spark):
     assert t.classify(documents(spark, []), None, ["toxic"]).collect() == []
 
 
+def test_texts_that_share_some_words_are_no_copies():
+    """All texts get the three words with the smallest hashes, which made them copies."""
+    common = [f"{c}{j:03}" for c in "abcdefghijklmnopqrstuvxyz" for j in range(1000)]
+    hashes = t.document_words(pa.array([" ".join(common)]))[0].reshape(len(common), -1)[:, 0]
+    common = " ".join(common[j] for j in np.argsort(hashes)[:3])
+    texts, labels = made(1500)
+    chain = t.train(pa.array([f"{common} {x}" for x in texts]), labels, ["rude", "aimed"])
+    unseen, truth = made(400, seed=2)
+    found = chain.probabilities(pa.array(unseen)) >= chain.thresholds
+    assert (found == truth).mean(axis=0).min() > 0.97
+
+
+def test_copies_count_once_per_label():
+    texts, labels = made(300)
+    once = t.train(pa.array(texts), labels, ["a", "b"])
+    twice = t.train(pa.array(texts + [" ".join(reversed(x.split())) for x in texts]), np.concatenate([labels, labels]), ["a", "b"])
+    assert (once.vocabulary == twice.vocabulary).all() and all((a.weights == b.weights).all() for a, b in zip(once.models, twice.models))
+
+
 @pytest.mark.parametrize("value", [0, 1])
 def test_one_sided_labels(value):
     texts, labels = made(60)
