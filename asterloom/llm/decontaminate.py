@@ -154,7 +154,9 @@ class Phrases:
 
 
 def occurrences(phrases: Phrases, hashes: np.ndarray, bounds: np.ndarray):
-    """First word, length and item of each place where a window of an item stands.
+    """First word, length and phrase of each place where a window of an item stands.
+
+    Phrases are numbered through all lengths; their items are not multiplied in, see ``shared``.
 
     Only stretches of benchmark words that are as long as the shortest phrase are indexed; each
     is followed by a word that no phrase has, as no phrase reaches over a stretch or a document.
@@ -172,18 +174,46 @@ def occurrences(phrases: Phrases, hashes: np.ndarray, bounds: np.ndarray):
     text = symbols[np.minimum(places, len(symbols) - 1)]
     text[np.cumsum(lengths + 1) - 1] = 1
     index = FmIndex(text, phrases.n_symbols)
-    found = []
-    for n, table, bound, items in phrases.groups:
+    found, before = [], 0
+    for n, table, _, _ in phrases.groups:
         low, high = index.search(table)
         some = np.flatnonzero(high > low)
         if len(some):
             at = places[index.locate(k.ranges(low[some], high[some] - low[some]))]
             phrase = np.repeat(some, high[some] - low[some])
-            count = bound[phrase + 1] - bound[phrase]
-            found.append((np.repeat(at, count), np.full(count.sum(), n), items[k.ranges(bound[phrase], count)]))
+            found.append((at, np.full(len(at), n), before + phrase))
+        before += len(table)
     return tuple(np.concatenate(x) for x in zip(*found)) if found else (none, none, none)
 
 
+def found_items(phrases: Phrases, bounds: np.ndarray, first: np.ndarray, phrase: np.ndarray):
+    """Distinct documents and phrases, the phrases by their place among those found, with each one's items."""
+    known, place = np.unique(phrase, return_inverse=True)
+    pairs = np.unique((np.searchsorted(bounds, first, "right") - 1) * max(1, len(known)) + place)
+    lists, before = [], 0
+    for _, table, bound, items in phrases.groups:
+        own = known[(known >= before) & (known < before + len(table))] - before
+        lists += [items[bound[j] : bound[j + 1]] for j in own]
+        before += len(table)
+    names = [phrases.items[j] for j in np.concatenate([*lists, np.zeros(0, np.int64)])]
+    return pairs // max(1, len(known)), pairs % max(1, len(known)), np.cumsum([0, *map(len, lists)]), names
+
+
+def shared(n_docs: int, parts: list) -> pa.Array:
+    """The items of each document, sorted, from the parts that ``found_items`` gives."""
+    names = sorted({j for *_, items in parts for j in items if j is not None})
+    place = {j: r for r, j in enumerate(names)}
+    found = [np.zeros(0, np.int64)]
+    for doc, phrase, bound, items in parts:
+        number = np.array([place.get(j, -1) for j in items], np.int64)
+        count = bound[phrase + 1] - bound[phrase]
+        own = number[k.ranges(bound[phrase], count)]
+        found.append((np.repeat(doc, count) * len(names) + own)[own >= 0])
+    pairs = np.unique(np.concatenate(found))
+    doc, item = pairs // max(1, len(names)), pairs % max(1, len(names))
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(n_docs + 1)), pa.int32()), pa.array(names, pa.string()).take(pa.array(item)))
+
+
 def read_phrases(items: DataFrame, width: int) -> Phrases:
     """The phrases of the given items, which are a pass's share of the benchmark."""
     table = items.toArrow()
@@ -193,28 +223,25 @@ def read_phrases(items: DataFrame, width: int) -> Phrases:
 
 
 def search(chunks: DataFrame, phrases: Phrases) -> DataFrame:
-    """``(chunk, hits)``: where the phrases stand in each chunk, and their items."""
+    """``(chunk, hits)``: where the phrases stand in each chunk, which documents have which, and their items."""
 
     def run(batches):
         for chunk, _, _ in c.each(batches):
             hashes, _, _, bounds = word_hashes(chunk.data, chunk.offsets)
-            first, length, item = occurrences(phrases, hashes, bounds)
-            hits = [{"spans": np.stack([first, length]).tobytes(), "items": [phrases.items[j] for j in item]}]
+            first, length, phrase = occurrences(phrases, hashes, bounds)
+            doc, place, bound, names = found_items(phrases, bounds, first, phrase)
+            hits = [{"spans": np.stack([first, length]).tobytes(), "pairs": np.stack([doc, place]).tobytes(), "bound": bound.tobytes(), "items": names}]
             yield pa.RecordBatch.from_arrays([pa.array([chunk.id], pa.int64()), pa.array(hits, kind)], ["chunk", "hits"])
 
-    kind = pa.struct([("spans", pa.binary()), ("items", pa.list_(pa.string()))])
-    return chunks.mapInArrow(run, "chunk long, hits struct<spans: binary, items: array<string>>")
+    kind = pa.struct([("spans", pa.binary()), ("pairs", pa.binary()), ("bound", pa.binary()), ("items", pa.list_(pa.string()))])
+    return chunks.mapInArrow(run, "chunk long, hits struct<spans: binary, pairs: binary, bound: binary, items: array<string>>")
 
 
-def merged(bounds: np.ndarray, first: np.ndarray, length: np.ndarray, items: list) -> list[pa.Array]:
+def merged(bounds: np.ndarray, first: np.ndarray, length: np.ndarray, parts: list) -> list[pa.Array]:
     """Per document: words, hit words, merged spans, items, and whether a twentieth is hit."""
     gone = np.zeros(bounds[-1], bool)
     gone[k.ranges(first, length)] = True
     firsts, lasts = k.runs(gone, bounds)
-    shared: list[set] = [set() for _ in bounds[1:]]
-    for doc, item in zip(np.searchsorted(bounds, first, "right") - 1, items):
-        if item is not None:
-            shared[doc].add(item)
     n_words, n_hit = np.diff(bounds), k.sums_between(gone, bounds)
     lists = np.stack([firsts, lasts], 1) - bounds[np.searchsorted(bounds, firsts, "right") - 1][:, None]
     pairs = pa.ListArray.from_arrays(pa.array(np.arange(0, 2 * len(lists) + 1, 2), pa.int32()), pa.array(lists.ravel(), pa.int64()))
@@ -222,7 +249,7 @@ def merged(bounds: np.ndarray, first: np.ndarray, length: np.ndarray, items: lis
         pa.array(n_words),
         pa.array(n_hit),
         pa.ListArray.from_arrays(pa.array(np.searchsorted(firsts, bounds), pa.int32()), pairs),
-        pa.array([sorted(x) for x in shared], pa.list_(pa.string())),
+        shared(len(bounds) - 1, parts),
         pa.array((n_hit > 0) & (20 * n_hit >= n_words)),
     ]
 
@@ -261,8 +288,8 @@ def find_benchmark(
 
         def process(chunk, batch, i):
             hashes, _, _, bounds = word_hashes(chunk.data, chunk.offsets)
-            first, length, item = occurrences(phrases, hashes, bounds)
-            return merged(bounds, first, length, [phrases.items[j] for j in item])
+            first, length, phrase = occurrences(phrases, hashes, bounds)
+            return merged(bounds, first, length, [found_items(phrases, bounds, first, phrase)])
 
     else:
         chunks = c.stage(chunks, "chunks")
@@ -277,7 +304,8 @@ def find_benchmark(
             hits = [x for x in hits.as_py() if x["items"]] if hits.is_valid else []
             spans = [np.frombuffer(x["spans"], np.int64).reshape(2, -1) for x in hits]
             first, length = np.concatenate([*spans, np.zeros((2, 0), np.int64)], axis=1)
-            return merged(bounds, first, length, [j for x in hits for j in x["items"]])
+            parts = [(*np.frombuffer(x["pairs"], np.int64).reshape(2, -1), np.frombuffer(x["bound"], np.int64), x["items"]) for x in hits]
+            return merged(bounds, first, length, parts)
 
     added = [
         T.StructField("n_words", T.LongType()),

@@ -86,3 +86,14 @@ def test_index(seed):
         for phrase, a, b in zip(phrases, low, high):
             expected = [i for i in range(len(text) - n + 1) if (text[i : i + n] == phrase).all()]
             assert sorted(index.locate(np.arange(a, b))) == expected
+
+
+def test_occurrences_are_not_multiplied_by_items():
+    """A short text of many items that stands in a chunk many times is carried once a place."""
+    n_items, n_docs = 300, 200
+    hashes, bounds = np.tile(np.array([5, 9], d.k.U), n_docs), np.arange(0, 2 * n_docs + 1, 2)
+    phrases = d.Phrases([str(j) for j in range(n_items - 1)] + [None], [np.array([5], d.k.U)] * n_items, 13)
+    first, length, phrase = d.occurrences(phrases, hashes, bounds)
+    assert len(first) == len(length) == len(phrase) == n_docs
+    items = d.merged(bounds, first, length, [d.found_items(phrases, bounds, first, phrase)])[3]
+    assert items.to_pylist() == [sorted(str(j) for j in range(n_items - 1))] * n_docs
