@@ -28,6 +28,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 FILE_RECORDS = 50_000
 #: Captures of a sorted run.
 RUN_ROWS = 20_000
+#: Captures of a key range, about: a task merges a range in memory.
+RANGE_ROWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -219,7 +221,8 @@ def capture_index(captures: DataFrame, key: str, url: str, time: str, parts: int
 
     Rows are ordered by part, and in a part by place. Each task that reads captures sorts them in
     runs; the runs are cut at sampled bounds of the whole sort key, so the captures of one URL may
-    go to many parts, and each part merges its pieces of runs by a loser tree. Null urls, times and keys
+    go to many parts, and each part merges its pieces of runs by a loser tree. Without ``parts`` there are
+    as many as shuffle partitions, or more, so that a part has about ``RANGE_ROWS`` captures at most. Null urls, times and keys
     come first; repeated rows stay. Added columns: ``url_key``, ``part`` and ``place``.
     """
     frame, names = by_position(captures)
@@ -244,7 +247,7 @@ def capture_index(captures: DataFrame, key: str, url: str, time: str, parts: int
             yield from batch.combine_chunks().to_batches(max_chunksize=2000)
 
     runs = stage(keyed.mapInArrow(sort_runs, f"url_key string, time_key string, row_key long, row {kind}, run long"), "runs")
-    n = parts or int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = parts or max(int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-runs.count() // RANGE_ROWS))
     ranged = runs.repartitionByRange(n, *order)
 
     def merge(batches):

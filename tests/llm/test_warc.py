@@ -108,3 +108,12 @@ def test_url_keys(spark):
     urls = ["https://www.A.example.com:443/X?b=1#f", "http://example.com", "http://u@h.org:8080/p", ""]
     rows = spark.createDataFrame([(u,) for u in urls], "u string").select(w.url_key("u").alias("k")).collect()
     assert [r.k for r in rows] == ["com,example,a)/x?b=1", "com,example)/", "org:8080,h)/p", ")/"]
+
+
+def test_ranges_grow_with_the_captures(spark, monkeypatch):
+    monkeypatch.setattr(w, "RANGE_ROWS", 20)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    captures = spark.range(60 * n).selectExpr("id", "concat('http://a.org/', id) AS url", "'2024' AS time")
+    rows = w.capture_index(captures, "id", "url", "time").collect()
+    assert len(rows) == 60 * n and len({r.part for r in rows}) > 2 * n
+    assert [r.url_key for r in sorted(rows, key=lambda r: (r.part, r.place))] == sorted(r.url_key for r in rows)
