@@ -11,6 +11,7 @@ from asterloom.llm.chunks import small_batches
 from asterloom.llm.decontaminate import find_benchmark
 from asterloom.llm.digest import edited_fingerprints
 from asterloom.llm.html_text import extract_text
+from asterloom.llm.infill import fill_in_middle, restore_texts
 from asterloom.llm.language import held_out, identify, learn
 from asterloom.llm import toxicity
 from asterloom.llm.oracle import ORACLE_SQL  # noqa: F401
@@ -95,6 +96,19 @@ def op10_tag_path_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(_table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    examples = fill_in_middle(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return restore_texts(examples).select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_cnn_language": op1_byte_cnn_language,
     "op2_concat_and_cut_packing": op2_concat_and_cut_packing,
@@ -106,4 +120,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_quartile_digest": op9_quartile_digest,
     "op10_tag_path_extraction": op10_tag_path_extraction,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }

@@ -1,0 +1,95 @@
+"""Fill-in-the-middle examples against a plain version, and their exact restoration."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+
+from asterloom.llm.infill import Rates, Sentinels, fill_in_middle, line_ends, restore, restore_texts, rotate, transform
+from tests.helpers import rows
+from tests.llm.cases import CLASHING, EDGES, documents, prose
+
+TAGS = re.compile("<[PSM]>")
+
+
+def plain(doc_id, text):
+    text = text or ""
+    units = re.findall(r"[^\n]*\n|[^\n]+", text)
+    n = len(units)
+    digest = hashlib.sha256(f"7:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[8 * i : 8 * i + 8], 16) for i in range(4)]
+    if not text or TAGS.search(text):
+        return n, "plain", None, None, text
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if h[3] % 100 < 50:
+        return n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def test_rotation_exchanges_blocks():
+    rng = random.Random(1)
+    for _ in range(200):
+        a, b, c, d = (bytes(rng.randrange(256) for _ in range(rng.randrange(9))) for _ in range(4))
+        buffer = np.frombuffer(bytearray(a + b + c + d), np.uint8)
+        rotate(buffer, len(a), len(a + b), len(a + b + c))
+        assert buffer.tobytes() == a + c + b + d
+
+
+def test_line_ends():
+    assert [line_ends(t).tolist() for t in (b"", b"\n", b"a", b"a\n\nb", b"a\n")] == [[], [1], [1], [2, 3, 4], [2]]
+
+
+TEXTS = ["", "\n", "\n\n\n", "a", "a\nb\nc", "<P", "x<P>y", "<M>", "S>\n<\n<P", "<\n<S\n<M\n>", "é\n漢字\n\U0001f600", "a\r\nb", "\x00\n\x01"]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_every_cut_is_restored(text):
+    raw = text.encode()
+    n = len(line_ends(raw))
+    for a in range(n + 1):
+        for b in range(n + 1):
+            for order in (0, 99):
+                _, form, _, _, example = transform(raw, [a, b, 0, order])
+                assert restore(example, form) == raw
+                assert form == ("plain" if not raw or TAGS.search(text) else "psm" if order else "spm")
+
+
+def test_other_sentinels_and_rates():
+    marks = Sentinels(b"<|p|>", b"<|s|>", b"<|m|>")
+    n, form, a, b, example = transform(b"one\ntwo\n", [1, 2, 0, 99], Rates(), marks)
+    assert (n, form, a, b, example) == (2, "psm", 4, 8, b"<|p|>one\n<|s|><|m|>two\n")
+    assert transform(b"one\n", [0, 0, 60, 0], Rates(fim=60))[1] == "plain"
+    assert transform(b"one\n", [0, 0, 59, 0], Rates(fim=60))[1] == "spm"
+    with pytest.raises(ValueError):
+        Sentinels(b"<a>", b"a", b"<c>")
+    with pytest.raises(ValueError):
+        restore(b"<P>a<S>b<M>c", "spm")
+
+
+def test_long_text():
+    line = b"a line of a very long text, of which there are many\n"
+    text = line * (30_000_000 // len(line))
+    _, form, a, b, example = transform(text, [1000, 400_000, 0, 0])
+    assert form == "spm" and len(example) == len(text) + 9 and restore(example, form) == text
+    assert example[: len(text) - b + 3] == b"<S>" + text[b:]
+
+
+def test_documents(spark):
+    given = prose(5) + EDGES + [(16, "a <S> b\nc"), (17, "one\r\ntwo\n\nthree"), (17, "one\r\ntwo\n\nthree"), (-(2**62), "x\ny\n")]
+    found = restore_texts(fill_in_middle(documents(spark, given, CLASHING)))
+    kept = ["lang", "source", "n_chars", *CLASHING]
+    assert found.columns == ["doc_id", *kept, "n", "form", "prefix_chars", "middle_chars", "output", "restored"]
+    expected = [(i, *plain(i, t), t or "") for i, t in given]
+    key = lambda r: tuple((x is not None, x or 0) if not isinstance(x, str) else (True, x) for x in r)
+    got = [tuple(r) for r in found.select("doc_id", *found.columns[-6:]).collect()]
+    assert sorted(got, key=key) == sorted(expected, key=key)
+    assert {r[0] for r in rows(found, "chunk")} == {"x"}
+
+
+def test_empty_table_and_text_keys(spark):
+    assert fill_in_middle(documents(spark, [])).count() == 0
+    frame = spark.createDataFrame([("k-1", "a\nb\nc\n")], "doc_id string, text string")
+    assert rows(restore_texts(fill_in_middle(frame)), "doc_id", "restored") == [("k-1", "a\nb\nc\n")]

@@ -18,6 +18,7 @@ COLUMNS = {
     "op8": "doc_id n_bytes n_removed n_spans kept_sha256",
     "op9": "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
     "op10": "page_id url text n_chars",
+    "op11": "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256",
 }
 
 
