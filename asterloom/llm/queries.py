@@ -14,6 +14,7 @@ from asterloom.llm.html_text import extract_text
 from asterloom.llm.infill import fill_in_middle, restore_texts
 from asterloom.llm.language import held_out, identify, learn
 from asterloom.llm import toxicity
+from asterloom.llm.multi_index import nearest_neighbours
 from asterloom.llm.oracle import ORACLE_SQL  # noqa: F401
 from asterloom.llm.packing import pack
 from asterloom.llm.simhash import near_duplicates
@@ -109,6 +110,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_cnn_language": op1_byte_cnn_language,
     "op2_concat_and_cut_packing": op2_concat_and_cut_packing,
@@ -121,4 +126,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quartile_digest": op9_quartile_digest,
     "op10_tag_path_extraction": op10_tag_path_extraction,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_inverted_multi_index": op12_inverted_multi_index,
 }
