@@ -110,5 +110,37 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BI
     ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
   sha256(t) AS restored_sha256
 FROM g
+""",
+    "op13_phrase_automata": r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS p FROM documents
+), pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(p) AS piece FROM d)
+), sizes AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang
+), phrases AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM pieces, range(1, 6) AS t(m) WHERE len(w) >= m)
+), counts AS (
+  SELECT lang, phrase, m, count(*) AS f FROM phrases GROUP BY lang, phrase, m HAVING count(*) >= 100
+), candidates AS (
+  SELECT lang, phrase, m, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE m > 1
+), covers AS (
+  SELECT lang, array_to_string(w[i:i + j - 1], ' ') AS phrase, max(a) AS a
+  FROM (SELECT lang, w, a, j, unnest(range(1, m - j + 2)) AS i FROM candidates, range(2, 5) AS t(j) WHERE j < m) GROUP BY ALL
+), kept AS (
+  SELECT c.* FROM candidates c LEFT JOIN covers o ON c.lang = o.lang AND c.phrase = o.phrase WHERE o.a IS NULL OR 100 * o.a < 100 * c.a
+), cuts AS (
+  SELECT k.lang, k.phrase, k.a, k.k, x.f AS l, y.f AS r, s.n, CAST(1000 AS HUGEINT) * k.a * s.n // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM (SELECT *, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+        FROM (SELECT *, unnest(range(1, m)) AS k FROM kept)) k
+  JOIN counts x ON x.lang = k.lang AND x.phrase = k.head JOIN counts y ON y.lang = k.lang AND y.phrase = k.tail
+  JOIN sizes s ON s.lang = k.lang
+  QUALIFY row_number() OVER (PARTITION BY k.lang, k.phrase ORDER BY score, k.k) = 1
+)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM cuts)
+WHERE rank <= 2000
 """,
 }

@@ -17,6 +17,7 @@ from asterloom.llm import toxicity
 from asterloom.llm.multi_index import nearest_neighbours
 from asterloom.llm.oracle import ORACLE_SQL  # noqa: F401
 from asterloom.llm.packing import pack
+from asterloom.llm.phrases import collocations
 from asterloom.llm.simhash import near_duplicates
 from asterloom.llm.substring_dedup import remove_repeated_windows
 from asterloom.llm.suffix_dedup import remove_earlier_strings
@@ -114,6 +115,10 @@ def op12_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
 
+def op13_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents", "text", "lang"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_cnn_language": op1_byte_cnn_language,
     "op2_concat_and_cut_packing": op2_concat_and_cut_packing,
@@ -127,4 +132,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_tag_path_extraction": op10_tag_path_extraction,
     "op11_fill_in_middle": op11_fill_in_middle,
     "op12_inverted_multi_index": op12_inverted_multi_index,
+    "op13_phrase_automata": op13_phrase_automata,
 }

@@ -20,6 +20,7 @@ COLUMNS = {
     "op10": "page_id url text n_chars",
     "op11": "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256",
     "op12": "query_id rank vec_id score",
+    "op13": "lang rank phrase a l r n score",
 }
 #: Queries that give another number of rows than their table has.
 OTHER_COUNTS = ("op2", "op12", "op13")
