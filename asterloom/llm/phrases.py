@@ -24,7 +24,7 @@ LEAST, LONGEST, TOP = 100, 5, 2000
 #: Bytes of text of a shard, about. Longer texts are cut where a piece ends.
 SHARD_BYTES = 4_000_000
 #: Distinct hashes that a task gathers before it sends them, and that a bucket counts, about.
-HELD_HASHES, BUCKET_HASHES = 4_000_000, 3_000_000
+HELD_HASHES, BUCKET_HASHES = 2_000_000, 1_000_000
 #: Bits of the table of frequent words and pairs: so many for each, within these bounds (16 MB at most).
 BITS_EACH, LEAST_BITS, MOST_BITS = 64, 1 << 16, 1 << 27
 #: Windows drawn over the corpus to bound the prefix ranges; windows of a range in all shards, about; and the most ranges.
@@ -419,14 +419,17 @@ def _frequent(texts: DataFrame, total: int, least: int, longest: int, shard_byte
             place = k.mix(words.hashes + np.arange(len(words.hashes), dtype=k.U), 3)
             drawn = [words.window(i, longest) for i in np.flatnonzero(place <= drawn_below)]
             if drawn:
-                n = len(drawn)
-                yield rows([[-1] * n, [None] * n, [None] * n, [lang] * n, drawn])
+                # The windows of a shard are one row, in one of several groups.
+                yield rows([[-1 - int(words.hashes[0] % k.U(buckets))], [None], [None], [lang], [b"\n".join(drawn)]])
         if held:
             yield from flush()
 
     def count(table: pa.Table) -> pa.Table:
         if table.column("bucket")[0].as_py() < 0:
-            return pa.Table.from_arrays([pa.nulls(len(table), pa.int64()), table.column("lang"), table.column("sample")], ["hash", "lang", "sample"])
+            both = zip(table.column("lang").to_pylist(), table.column("sample").to_pylist())
+            langs, drawn = zip(*[(lang, x) for lang, own in both for x in own.split(b"\n")])
+            columns = [pa.nulls(len(langs), pa.int64()), pa.array(langs, pa.string()), pa.array(drawn, pa.binary())]
+            return pa.Table.from_arrays(columns, ["hash", "lang", "sample"])
         blocks = zip(table.column("hashes"), table.column("counts"))
         hashes, counts = _summed([(np.frombuffer(h.as_buffer(), k.U), unsqueeze(n).view(np.uint32)) for h, n in blocks])
         hashes = hashes[counts >= least].view(np.int64)
@@ -592,7 +595,7 @@ def collocations(
     longer = candidates.filter(F.size(split) > 2)
     covered = longer.select("lang", F.explode(_sub_phrases(split)).alias("inner"), F.col("a").alias("covers"))
     covered = covered.groupBy(F.col("lang").alias("inner_lang"), "inner").agg(F.max("covers").alias("covers"))
-    candidates = candidates.join(covered, (F.col("lang") == F.col("inner_lang")) & (F.col("phrase") == F.col("inner")), "left")
+    candidates = candidates.join(covered.hint("merge"), (F.col("lang") == F.col("inner_lang")) & (F.col("phrase") == F.col("inner")), "left")
     kept = candidates.filter(F.col("covers").isNull() | (100 * F.col("covers").cast("decimal(38,0)") < absorbed * F.col("a").cast("decimal(38,0)")))
     kept = stage(kept.select("lang", "phrase", "a"), "candidates", small=True)
 
@@ -605,7 +608,7 @@ def collocations(
     known = stage(look_up(parts.select("lang", F.col("part").cast("binary").alias("phrase")), counts, bounds), "parts", small=True)
     known = known.select("lang", F.col("phrase").cast("string").alias("part"), "f")
     for side, count in (("left", "l"), ("right", "r")):
-        cuts = cuts.join(known.select("lang", F.col("part").alias(side), F.col("f").alias(count)), ["lang", side])
+        cuts = cuts.join(known.select("lang", F.col("part").alias(side), F.col("f").alias(count)).hint("merge"), ["lang", side])
     whole = cuts.groupBy("lang", "phrase", "a").agg(F.collect_list(F.struct("before", "l", "r")).alias("cuts")).join(sizes, "lang")
 
     def score(batches):
