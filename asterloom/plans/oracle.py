@@ -9,6 +9,7 @@ from asterloom.plans.queries import (
     DAY_TO,
     IMAGE_BASE,
     LOADED_BEFORE,
+    ODD_TEXT,
     PAGE_WINDOWS,
 )
 from asterloom.plans.testdata import GENRE_SLOTS
@@ -121,6 +122,16 @@ def _window(order: str, skip: int, rows: int) -> str:
     )
 
 
+def _new_rows(batch: str, target: str) -> str:
+    """The batch without the target's keys, as an outer join with the distinct keys."""
+    return f"""
+        , known AS MATERIALIZED (
+          SELECT DISTINCT movie_id, coalesce(genre_id, -1) AS genre, 1 AS found FROM {target})
+        SELECT b.movie_id, b.genre_id, b.date_id, b.popularity, b.vote_average, b.vote_count
+        FROM {batch} b LEFT JOIN known k
+        ON b.movie_id = k.movie_id AND coalesce(b.genre_id, -1) = k.genre WHERE k.found IS NULL"""
+
+
 _LOADS = {
     "dim_movie": "SELECT count(*) FROM entity",
     "dim_date": "SELECT count(*) FROM dates",
@@ -173,8 +184,8 @@ _BODIES = {
         SELECT count(*) AS pages, count(*) FILTER (WHERE broken) AS broken_pages,
                CAST(sum(CASE WHEN broken THEN 0 ELSE results END) AS BIGINT) AS records
         FROM pages""",
-    "new_rows": "SELECT * FROM fresh",
-    "new_rows_small": "SELECT * FROM day_fresh",
+    "new_rows": _new_rows("fact", "history"),
+    "new_rows_small": _new_rows("month", "held"),
     "append_day": (
         "SELECT * REPLACE (popularity / 2 AS popularity) FROM held UNION ALL SELECT * FROM day_fresh"
     ),
@@ -201,6 +212,10 @@ _BODIES = {
         FROM (SELECT count(*) AS n FROM raw) r, (SELECT count(*) AS n FROM cleaned) c,
              (SELECT count(*) AS n FROM bridge) b""",
     "json_array_scan": f"SELECT {_RECORD}, genres_text FROM raw",
+    "json_array_ranges": (
+        f"SELECT {_RECORD}, genres_text"
+        f" FROM (SELECT * REPLACE ('{ODD_TEXT[0]}' || overview || '{ODD_TEXT[1]}' AS overview) FROM raw)"
+    ),
     "json_round_trip": f"SELECT {_RECORD}, genres_text FROM raw",
     "parquet_round_trip": f"SELECT {_RECORD}, genres_text FROM raw",
     "single_file_round_trip": "SELECT * FROM dates",

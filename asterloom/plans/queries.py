@@ -62,6 +62,7 @@ from asterloom.sources import (
     flatten_pages,
     page_report,
     page_window,
+    read_array_records,
     read_pages,
     read_records,
     read_table,
@@ -84,6 +85,8 @@ DEEP_PAGES = (601, 5)
 DAY_FROM, DAY_HELD, DAY_TO = "1997-03-01", "1997-03-15", "1997-04-01"
 # Records in one JSON array file: those whose ids share this many numbers.
 ARRAY_IDS = 4000
+# Put around a text of the records, so that braces and quotes in texts are read, too.
+ODD_TEXT = ('[{"}', '\\"},{')
 
 
 # --- shared parts -----------------------------------------------------------------
@@ -422,19 +425,32 @@ def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(read_records(spark, folder, RECORD_SCHEMA, multiline=False))
 
 
-def json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _landed_arrays(spark: SparkSession, records: DataFrame) -> str:
     """Files that each hold one JSON array over several lines: at most two records for each of
     ``ARRAY_IDS`` neighbouring ids, so the number of files follows that of the records."""
     folder = new_scratch_dir(spark, "json-arrays")
     line = F.to_json(F.struct(*RECORD_SCHEMA.names)).alias("line")
     group = F.floor(F.col(KEY) / ARRAY_IDS).alias("file")
-    lines = movie_records(spark, sf_dir).select(group, line).groupBy("file")
+    lines = records.select(group, line).groupBy("file")
     joined = F.array_join(F.collect_list("line"), ",\n")
     arrays = lines.agg(F.concat(F.lit("[\n"), joined, F.lit("\n]")).alias("value")).select("value")
     arrays.write.option("maxRecordsPerFile", 1).text(folder)
+    return folder
+
+
+def json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON array files, each read whole by one task."""
+    folder = _landed_arrays(spark, movie_records(spark, sf_dir))
     return _flat(read_records(spark, folder, RECORD_SCHEMA, multiline=True))
 
 
+def json_array_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON array files, each read in as many ranges as Spark splits it into."""
+    before, after = map(F.lit, ODD_TEXT)
+    records = movie_records(spark, sf_dir).withColumn("overview", F.concat(before, "overview", after))
+    return _flat(read_array_records(spark, _landed_arrays(spark, records), RECORD_SCHEMA))
+
+
 def parquet_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written twice to the same place: the second write replaces the first."""
     folder = new_scratch_dir(spark, "parquet")
@@ -600,6 +616,7 @@ QUERIES: dict[str, Query] = {
     "append_counts": append_counts,
     "quality_counts": quality_counts,
     "json_array_scan": json_array_scan,
+    "json_array_ranges": json_array_ranges,
     "json_round_trip": json_round_trip,
     "parquet_round_trip": parquet_round_trip,
     "single_file_round_trip": single_file_round_trip,

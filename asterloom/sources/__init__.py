@@ -1,5 +1,6 @@
 """Sources: JSON records, page envelopes, Parquet tables, literal tables, page windows."""
 
+from asterloom.sources.arrays import array_records, read_array_records
 from asterloom.sources.readers import (
     CORRUPT_COLUMN,
     flatten_pages,
@@ -17,6 +18,7 @@ from asterloom.sources.windows import concat_pages, page_window
 
 __all__ = [
     "CORRUPT_COLUMN",
+    "array_records",
     "concat_pages",
     "flatten_pages",
     "literal_table",
@@ -24,6 +26,7 @@ __all__ = [
     "page_report",
     "page_schema",
     "page_window",
+    "read_array_records",
     "read_pages",
     "read_records",
     "read_table",

@@ -1,0 +1,90 @@
+"""JSON array files read in ranges, against the whole-file reader."""
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from asterloom.sources import array_records, read_array_records, read_records
+from tests.helpers import rows
+
+SCHEMA = "id bigint, text string, inner struct<a: string, b: array<struct<c: string>>>, more array<bigint>"
+NASTY = ["{", "}", '"', "\\", "\\\\", '\\"', "}}", "{{", "[", "]", ",", "\n", "é", "漢", "\U0001f600", "\u0000", " ", "x", "},{", '"}', '{"', "\\u007d"]
+
+
+def nasty(rng, longest=12):
+    return "".join(rng.choice(NASTY) for _ in range(rng.randrange(longest)))
+
+
+def record(rng, i):
+    inner = {"a": nasty(rng), "b": [{"c": nasty(rng)} for _ in range(rng.randrange(3))]}
+    return {"id": i, "text": nasty(rng, 40), "inner": rng.choice([inner, None]), "more": list(range(rng.randrange(4)))}
+
+
+def write(path, values, indent=None, ascii_only=True):
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(values, f, indent=indent, ensure_ascii=ascii_only)
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+@pytest.mark.parametrize("split", ["64", "777", "100000000"])
+def test_same_rows_as_the_whole_file_reader(spark, with_conf, tmp_path, indent, split):
+    rng = random.Random(int(split))
+    for f in range(3):
+        write(tmp_path / f"{f}.json", [record(rng, 1000 * f + i) for i in range(60)], indent, f != 1)
+    expected = rows(read_records(spark, str(tmp_path), SCHEMA, multiline=True).select("id", F.to_json(F.struct("*"))))
+    with_conf(spark__sql__files__maxPartitionBytes=split, spark__sql__files__openCostInBytes="1")
+    found = read_array_records(spark, str(tmp_path), SCHEMA)
+    assert rows(found.select("id", F.to_json(F.struct("*")))) == expected
+    assert len(expected) == 180
+
+
+def test_many_ranges_take_part(spark, with_conf, tmp_path):
+    rng = random.Random(3)
+    write(tmp_path / "one.json", [record(rng, i) for i in range(2000)])
+    with_conf(spark__sql__files__maxPartitionBytes="20000", spark__sql__files__openCostInBytes="1")
+    found = array_records(spark, str(tmp_path))
+    tasks = found.select(F.spark_partition_id().alias("task")).distinct().count()
+    assert tasks > 8 and found.count() == 2000
+
+
+def test_a_record_over_many_ranges(spark, with_conf, tmp_path):
+    values = [{"id": 1, "text": "{" * 5000}, {"id": 2, "text": '\\"}' * 3000}, {"id": 3, "text": ""}, {"id": 4, "text": "}" * 2000}]
+    write(tmp_path / "one.json", values)
+    with_conf(spark__sql__files__maxPartitionBytes="100", spark__sql__files__openCostInBytes="1")
+    assert rows(read_array_records(spark, str(tmp_path), SCHEMA), "id", "text") == [(v["id"], v["text"]) for v in values]
+
+
+@pytest.mark.parametrize("text, ids", [
+    ("[]", []),
+    ("", []),
+    (" \n", []),
+    ("[{}]", [None]),
+    ('{"id": 5}', [5]),
+    ('{"id": 5}\n{"id": 6}\n', [5, 6]),
+    ('[{"id": 5}, null, 7, {"id": 8}]\n\n', [5, 8]),
+    ('[{"id": 5}, {"id": "x"}, {"id": 6}]', [None, 5, 6]),
+    ('[{"id": 5}, {"id": 6, "te', [None, 5]),
+])
+def test_odd_files(spark, with_conf, tmp_path, text, ids):
+    (tmp_path / "one.json").write_text(text)
+    for split in ("4", "100000000"):
+        with_conf(spark__sql__files__maxPartitionBytes=split, spark__sql__files__openCostInBytes="1")
+        assert [r[0] for r in rows(read_array_records(spark, str(tmp_path), SCHEMA), "id")] == ids
+
+
+def test_malformed_records_keep_their_text(spark, tmp_path):
+    (tmp_path / "one.json").write_text('[{"id": 5}, {"id": }, {"id": 6}]')
+    found = read_array_records(spark, str(tmp_path), "id bigint, bad string", columnNameOfCorruptRecord="bad")
+    assert rows(found, "id", "bad") == [(None, '{"id": }'), (5, None), (6, None)]
+
+
+def test_compressed_files_and_several_paths(spark, tmp_path):
+    import gzip
+
+    with gzip.open(tmp_path / "a.json.gz", "wt") as f:
+        f.write('[{"id": 1}, {"id": 2}]')
+    write(tmp_path / "b.json", [{"id": 3}])
+    found = read_array_records(spark, [str(tmp_path / "a.json.gz"), str(tmp_path / "b.json")], SCHEMA)
+    assert rows(found, "id") == [(1,), (2,), (3,)]
