@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from functools import lru_cache
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -62,6 +63,7 @@ BOILERPLATE = re.compile(
     re.IGNORECASE,
 )
 TALK = re.compile(rf"(?:(?:{PLACES})-)?(?:{DISCUSSION})(?:-(?:{PARTS}))?", re.IGNORECASE)
+TAG_BEGINS = re.compile("<[A-Za-z/!?]")
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：·¿¡]")
 #: What an opening tag closes: paragraphs end where a block begins, items where the next begins.
 CLOSES_SAME = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
@@ -76,42 +78,67 @@ def marked(values: tuple[str, ...]) -> str:
     return "other" if any(BOILERPLATE.fullmatch(x) for x in tokens) else ""
 
 
+class Open(NamedTuple):
+    """An open element: its tag, the number of its path, whether it is skipped and in an article, its
+    element, the place of the innermost open block up to it, and how many links are open."""
+
+    tag: str = ""
+    path: int = 0
+    skipped: bool = False
+    inside: bool = False
+    element: int = 0
+    block: int = -1
+    links: int = 0
+
+
+NOTHING = Open()
+
+
 class Blocks(HTMLParser):
-    """The text blocks of a page: path, text, characters in links, whether in an article, element."""
+    """The text blocks of a page: path, text, characters in links, whether in an article, element.
+
+    Paths are numbers, each known by that of its parent and its last tag, and where open elements
+    are is kept by tag, so every tag takes the same time however deep it stands.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, str, bool, bool, int]] = []
-        self.blocks: list[tuple[str, str, int, bool, int]] = []
+        self.stack: list[Open] = []
+        self.places: dict[str, list[int]] = {}
+        self.paths: dict[tuple[int, str], int] = {}
+        self.blocks: list[tuple[int, str, int, bool, int]] = []
         #: Unskipped block elements after the page itself: parent, tag, mark, whether in an article.
         self.elements: list[tuple[int, str, str, bool]] = [(0, "", "", False)]
         self.text: list[str] = []
         self.linked = 0
 
-    def state(self):
-        return self.stack[-1] if self.stack else ("", "", False, False, 0)
+    def state(self) -> Open:
+        return self.stack[-1] if self.stack else NOTHING
+
+    def block_state(self) -> Open:
+        at = self.state().block
+        return self.stack[at] if at >= 0 else NOTHING
+
+    def place(self, tags) -> int:
+        """Where the innermost open element with one of the tags is, -1 if there is none."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
 
     def flush(self):
         if self.text:
             value = " ".join("".join(self.text).split())
-            _, path, skipped, inside, element = self.block_state()
-            if value and not skipped:
-                self.blocks.append((path, value, self.linked, inside, element))
+            block = self.block_state()
+            if value and not block.skipped:
+                self.blocks.append((block.path, value, self.linked, block.inside, block.element))
         self.text, self.linked = [], 0
 
-    def block_state(self):
-        for entry in reversed(self.stack):
-            if entry[0] not in INLINE:
-                return entry
-        return ("", "", False, False, 0)
-
     def pop_to(self, place: int):
-        if any(e[0] not in INLINE for e in self.stack[place:]):
+        if self.state().block >= place:
             self.flush()
-        del self.stack[place:]
+        while len(self.stack) > place:
+            self.places[self.stack.pop().tag].pop()
 
     def close_head(self):
-        if self.stack and self.stack[-1][0] == "head":
+        if self.state().tag == "head":
             self.pop_to(len(self.stack) - 1)
 
     def handle_starttag(self, tag, attrs):
@@ -119,24 +146,17 @@ class Blocks(HTMLParser):
             self.close_head()
         if tag not in INLINE:
             self.flush()
-            for i in range(len(self.stack) - 1, -1, -1):
-                open_tag = self.stack[i][0]
-                if open_tag == "p" and tag not in VOID:
-                    self.pop_to(i)
-                    break
-                if open_tag not in INLINE:
-                    break
+            if tag not in VOID and self.block_state().tag == "p":
+                self.pop_to(self.state().block)
             if tag in CLOSES_SAME:
                 same = {"dt", "dd"} if tag in ("dt", "dd") else {"td", "th"} if tag in ("td", "th") else {tag}
-                for i in range(len(self.stack) - 1, -1, -1):
-                    if self.stack[i][0] in same:
-                        self.pop_to(i)
-                        break
-                    if self.stack[i][0] in CLOSES_SAME[tag]:
-                        break
+                at = self.place(same)
+                if at > self.place(CLOSES_SAME[tag]):
+                    self.pop_to(at)
         if tag in VOID:
             return
-        _, path, skipped, inside, element = self.block_state() if tag in ("article", "main", "h1") else self.state()
+        around = self.block_state() if tag in ("article", "main", "h1") else self.state()
+        skipped, inside, element, path = around.skipped, around.inside, around.element, around.path
         mark = ""
         if not skipped:
             # The id of a heading names its subject.
@@ -144,11 +164,16 @@ class Blocks(HTMLParser):
             mark = "" if tag in ("html", "body", "article", "main") else marked(tuple(v for k, v in attrs if v and k in names))
             hidden = any(k == "hidden" or k == "aria-hidden" and v == "true" for k, v in attrs)
             skipped = tag in SKIPPED or hidden or bool(mark and tag in INLINE)
-        if not skipped and tag not in INLINE:
-            self.elements.append((element, tag, mark, inside))
-            element = len(self.elements) - 1
+        block, links = self.state().block, self.state().links + (tag == "a")
+        if tag not in INLINE:
+            if not skipped:
+                self.elements.append((element, tag, mark, inside))
+                element = len(self.elements) - 1
+            path = self.paths.setdefault((path, tag), len(self.paths) + 1)
+            block = len(self.stack)
         inside = inside or tag in ("article", "main")
-        self.stack.append((tag, path if tag in INLINE else f"{path}/{tag}", skipped, inside, element))
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append(Open(tag, path, skipped, inside, element, block, links))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -156,25 +181,25 @@ class Blocks(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                self.pop_to(i)
-                return
-            if tag in INLINE and self.stack[i][0] not in INLINE:
-                return
-        if tag not in INLINE:
+        at = self.place((tag,))
+        if tag in INLINE:
+            if at > self.state().block:
+                self.pop_to(at)
+        elif at >= 0:
+            self.pop_to(at)
+        else:
             self.flush()
 
     def handle_data(self, data):
         if data.strip():
             self.close_head()
-        if not self.state()[2]:
+        if not self.state().skipped:
             self.text.append(data)
-            if any(e[0] == "a" for e in self.stack):
+            if self.state().links:
                 self.linked += len(data.strip())
 
 
-def unmarked(elements: list[tuple[int, str, str, bool]], blocks: list[tuple[str, str, int, bool, int]]) -> list[tuple[str, str, int, bool, int]]:
+def unmarked(elements: list[tuple[int, str, str, bool]], blocks: list[tuple[int, str, int, bool, int]]) -> list[tuple[int, str, int, bool, int]]:
     """The blocks in no element that is left out by its name or mark.
 
     What wraps the main text is never left out: by mark, what has a main, a h1, the page's
@@ -221,7 +246,7 @@ def smoothed(values: np.ndarray) -> np.ndarray:
     return np.convolve(values, KERNEL)[half:-half] / weight
 
 
-def chosen(elements: list[tuple[int, str, str, bool]], blocks: list[tuple[str, str, int, bool, int]]) -> list[str]:
+def chosen(elements: list[tuple[int, str, str, bool]], blocks: list[tuple[int, str, int, bool, int]]) -> list[str]:
     """The texts of the blocks whose paths are content, and of those that belong to them."""
     inside = np.array([b[3] for b in blocks])
     share, own = ELSEWHERE
@@ -247,7 +272,7 @@ def chosen(elements: list[tuple[int, str, str, bool]], blocks: list[tuple[str, s
     return [b[1] for b, kept in zip(blocks, keep) if kept]
 
 
-def with_company(elements: list[tuple[int, str, str, bool]], blocks: list[tuple[str, str, int, bool, int]], keep: list[bool], restricted: bool) -> list[bool]:
+def with_company(elements: list[tuple[int, str, str, bool]], blocks: list[tuple[int, str, int, bool, int]], keep: list[bool], restricted: bool) -> list[bool]:
     """Which blocks to keep if those of ``keep`` are: short ones of the main text have poor paths, too.
 
     The root is the innermost container with more than half of the kept text. Kept as well are all blocks
@@ -299,10 +324,22 @@ def with_company(elements: list[tuple[int, str, str, bool]], blocks: list[tuple[
     return out
 
 
+def without_open_end(html: str) -> str:
+    """The page without a comment or tag that is begun and never ends.
+
+    Nothing behind the beginning of either is text. The parser would look for the end of each such
+    beginning through the whole rest of the page.
+    """
+    unclosed = html.find("<!--", html.rfind("-->") + 1)
+    html = html[:unclosed] if unclosed >= 0 else html
+    begun = TAG_BEGINS.search(html, html.rfind(">") + 1)
+    return html[: begun.start()] if begun else html
+
+
 def main_text(html: str) -> str:
     """The main text of one page, blocks joined by one space; empty if there is none."""
     parser = Blocks()
-    parser.feed(html)
+    parser.feed(without_open_end(html))
     parser.close()
     parser.flush()
     blocks = unmarked(parser.elements, parser.blocks)

@@ -124,3 +124,41 @@ def test_head_without_an_end(start):
 
 def test_deleted_text_is_kept():
     assert h.main_text(f"<article><p>{PROSE} <del>Gone</del>by.</p><del><p>{PROSE}</p></del></article>") == f"{PROSE} Goneby. {PROSE}"
+
+
+@pytest.mark.parametrize("page, expected", [
+    ("<div>" * 100_000, 0),
+    ("<font>" * 100_000 + "x", 1),
+    ("<div>x" * 100_000, 199_999),
+    ("<a>x" * 100_000, 100_000),
+    ("<li><div>" * 50_000 + "x", 1),
+    ("<div>" * 100_000 + "<li>x</li>" * 50_000, 99_999),
+    ("<font>" * 100_000 + "<p>x</p>" * 50_000, 99_999),
+    ("<table>" * 50_000 + "<td>x" * 50_000, 99_999),
+    ("<div class=ad>x " * 50_000, 49_999),
+], ids=["blocks", "inline", "text", "links", "items", "items below", "paragraphs below", "cells", "marked"])
+def test_time_and_memory_follow_the_length(page, expected):
+    """100,000 open elements: seconds and 200 MB, where time or memory by depth would take minutes or GB."""
+    import time
+    import tracemalloc
+
+    begun = time.process_time()
+    assert abs(len(h.main_text(page)) - expected) <= 50_000 * (expected == 49_999)
+    assert time.process_time() - begun < 30
+    tracemalloc.start()
+    h.main_text(page)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6
+
+
+@pytest.mark.parametrize("piece", ["<!--", "<!-- x>", "<a ", "</", "<?", "<a b='", '<a b="x', "<![CDATA["])
+@pytest.mark.parametrize("end", ["", ">"])
+def test_markup_that_never_ends(piece, end):
+    """What is begun and never ended is no text, and is not searched for from every beginning."""
+    import time
+
+    begun = time.process_time()
+    h.main_text(f"<p>{PROSE}</p>" + piece * 20_000 + end)
+    assert time.process_time() - begun < 10
+    assert h.main_text(f"<p>{PROSE}</p><p>a < b</p>" + piece) == f"{PROSE} a < b"
