@@ -21,6 +21,8 @@ from asterloom.sinks.scratch import new_scratch_dir
 #: Smaller payloads are written in full each time.
 REVISIT_BYTES = 100
 EPOCH = "2024-01-01 00:00:00"
+#: Seconds over which the default capture times are spread.
+YEAR = 366 * 86_400
 CRLF = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Records of an archive file at most. A file is read by one task: line readers can lose a record
@@ -82,10 +84,11 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
     only if the list of repeats is too large to be sent to all tasks.
     """
     if captured is None:
-        captured = F.timestamp_seconds(F.unix_timestamp(F.lit(EPOCH)) + F.coalesce(F.col(f"`{key}`"), F.lit(0)))
+        second = F.pmod(F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(0)), F.lit(YEAR))
+        captured = F.timestamp_seconds(F.unix_timestamp(F.lit(EPOCH)) + second)
     archives = Archives(path, str(uuid.uuid4()))
-    payload = F.coalesce(F.col(f"`{html}`"), F.lit(""))
-    target = F.coalesce(F.col(f"`{url}`"), F.lit(""))
+    payload = F.make_valid_utf8(F.coalesce(F.col(f"`{html}`"), F.lit("")))
+    target = F.make_valid_utf8(F.coalesce(F.col(f"`{url}`"), F.lit("")))
     target = F.regexp_replace(F.regexp_replace(F.regexp_replace(target, "\r", "%0D"), "\n", "%0A"), "\u0000", "%00")
     rows = pages.select(
         F.col(f"`{key}`").cast("long").alias("key"),
@@ -291,7 +294,8 @@ def archive_pages(pages: DataFrame, key: str = "page_id", url: str = "url", html
 
     Returns the index: key, url, time, ``payload_bytes`` and ``payload_digest`` (of the full
     payload, also for revisits), ``record_type``, ``refers_to`` (the key of the response that a
-    revisit refers to), ``url_key``, ``part`` and ``place``. An empty table gives an empty index.
+    revisit refers to), ``url_key``, ``part`` and ``place``; other columns are not kept. An empty
+    table gives an empty index. Keys that are no integers are an error; html that is not UTF-8 is written as ``write_archives`` tells.
     """
     spark = pages.sparkSession
     frame, names = by_position(pages)

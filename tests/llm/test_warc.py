@@ -117,3 +117,25 @@ def test_ranges_grow_with_the_captures(spark, monkeypatch):
     rows = w.capture_index(captures, "id", "url", "time").collect()
     assert len(rows) == 60 * n and len({r.part for r in rows}) > 2 * n
     assert [r.url_key for r in sorted(rows, key=lambda r: (r.part, r.place))] == sorted(r.url_key for r in rows)
+
+
+def test_keys_of_any_size(spark):
+    html = "x" * 200
+    rows = [(10**13, "http://a/", html), (2**62, "http://a/", html), (-(2**62), "http://b/", html), (None, "http://c/", html), (2**63 - 1, None, "")]
+    out = w.archive_pages(spark.createDataFrame(rows, PAGE))
+    assert sorted((r.page_id is None, r.page_id or 0, r.record_type, r.refers_to) for r in out.collect()) == [
+        (False, -(2**62), "response", None),
+        (False, 10**13, "revisit", -(2**62)),
+        (False, 2**62, "revisit", -(2**62)),
+        (False, 2**63 - 1, "response", None),
+        (True, 0, "revisit", -(2**62)),
+    ]
+    assert {r.time[:4] for r in out.collect()} == {"2024"}
+
+
+def test_bytes_that_are_not_utf8(spark):
+    frame = spark.sql("SELECT 1L AS page_id, cast(X'687474703A2F2FFF' AS string) AS url, cast(X'FF6162' AS string) AS html")
+    (row,) = w.archive_pages(frame).collect()
+    payload = "\ufffdab".encode()
+    assert (row.payload_bytes, row.payload_digest) == (len(payload), hashlib.sha256(payload).hexdigest())
+    assert row.url == "http://\ufffd"
