@@ -25,11 +25,11 @@ SAMPLE = 8
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray):
-    """Hashes of the lower-cased words, their starts and ends, and the first word of each text."""
+    """64-bit hashes of the lower-cased words (see ``kernels.word_hashes`` for how often two agree),
+    their starts and ends, and the first word of each text."""
     lower = k.LOWER[data]
     starts, ends, bounds = k.words(lower, offsets, k.ALPHANUMERIC)
-    hashes = k.mix(k.Rolling(k.BYTE_VALUES[lower])(starts, ends) + (ends - starts).astype(k.U))
-    return hashes, starts, ends, bounds
+    return k.word_hashes(lower, starts, ends, k.ALPHANUMERIC)[:, 0], starts, ends, bounds
 
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
@@ -294,8 +294,9 @@ def find_benchmark(
     else:
         chunks = c.stage(chunks, "chunks")
         number = F.pmod(F.xxhash64("item", "text"), F.lit(passes))
-        found = [search(chunks, read_phrases(items.filter(number == p), width)) for p in range(passes)]
-        hits = c.stage(reduce(DataFrame.unionByName, found), "hits")
+        # A pass is done before the phrases of the next one are read, so the driver holds those of one.
+        found = [c.stage(search(chunks, read_phrases(items.filter(number == p), width)), "hits") for p in range(passes)]
+        hits = reduce(DataFrame.unionByName, found)
         chunks = chunks.join(hits.groupBy("chunk").agg(F.collect_list("hits").alias("hits")), "chunk", "left")
 
         def process(chunk, batch, i):

@@ -25,6 +25,12 @@ def documents(spark, rows, extra=()):
     return frame.repartition(3, "doc_id", "text") if rows else frame
 
 
+def colliding_words(power=10):
+    """Two words of 2 ** power letters that agree in every sum of powers modulo 2**64 (Thue and Morse)."""
+    ones = [bin(i).count("1") % 2 for i in range(1 << power)]
+    return "".join("ab"[x] for x in ones), "".join("ba"[x] for x in ones)
+
+
 def prose(seed, n_docs=60, vocabulary=300, longest=120):
     """Random texts with shared passages, exact and near copies, odd spaces and other scripts."""
     rng = random.Random(seed)

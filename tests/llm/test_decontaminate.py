@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import types as T
 
 from asterloom.llm import decontaminate as d
-from tests.llm.cases import CLASHING, EDGES, documents, prose
+from tests.llm.cases import CLASHING, EDGES, colliding_words, documents, prose
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 ITEM = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("text", T.StringType())])
@@ -97,3 +97,11 @@ def test_occurrences_are_not_multiplied_by_items():
     assert len(first) == len(length) == len(phrase) == n_docs
     items = d.merged(bounds, first, length, [d.found_items(phrases, bounds, first, phrase)])[3]
     assert items.to_pylist() == [sorted(str(j) for j in range(n_items - 1))] * n_docs
+
+
+def test_different_words_stay_apart(spark):
+    one, two = colliding_words()
+    rows = [(1, one), (2, two)]
+    items = spark.createDataFrame([(1, two)], "item_id long, text string")
+    out = {r.doc_id: (r.n_hit, r.contaminated) for r in d.find_benchmark(documents(spark, rows), items).collect()}
+    assert out == {1: (0, False), 2: (1, True)}

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 
 from asterloom.llm.substring_dedup import remove_repeated_windows
-from tests.llm.cases import CLASHING, EDGES, documents, prose
+from tests.llm.cases import CLASHING, EDGES, colliding_words, documents, prose
 
 
 def brute(rows, width):
@@ -51,3 +51,28 @@ def test_intervals_are_maximal(spark):
 
 def test_empty_table(spark):
     assert remove_repeated_windows(documents(spark, [])).collect() == []
+
+
+def test_different_words_stay_apart(spark):
+    one, two = colliding_words()
+    words = [f"w{i}" for i in range(34)]
+    rows = [(1, " ".join([*words, one])), (2, " ".join([*words, two]))]
+    assert found(remove_repeated_windows(documents(spark, rows))) == brute(rows, 35)
+    assert [r[2] for r in brute(rows, 35)] == [0, 0]
+
+
+def test_word_hashes():
+    import numpy as np
+
+    from asterloom.llm import kernels as k
+
+    texts = [" ".join([*colliding_words(), "x", "y"]), "", "x é漢", "y", "z z"]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    starts, ends, _ = k.words(data, np.cumsum([0, *[len(t.encode()) for t in texts]]), k.NOT_SPACE)
+    words = [data[a:b].tobytes() for a, b in zip(starts, ends)]
+    hashes = k.word_hashes(data, starts, ends, k.NOT_SPACE)
+    assert words[2:] == [b"x", b"y", b"x", "é漢".encode(), b"y", b"z", b"z"]
+    for column in hashes.T:
+        assert [len({h for w, h in zip(words, column) if w == v}) for v in words] == [1] * len(words)
+        assert len(set(column.tolist())) == len(set(words))
+    assert k.word_hashes(data[:0], starts[:0], ends[:0], k.NOT_SPACE).shape == (0, 2)
