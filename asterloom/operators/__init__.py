@@ -12,7 +12,10 @@ from asterloom.operators.clean import (
 from asterloom.operators.load import (
     LoadResult,
     incremental_append,
+    ledger,
+    load_once,
     new_rows,
+    read_loads,
 )
 from asterloom.operators.model import (
     EntitySpec,
@@ -43,11 +46,14 @@ __all__ = [
     "entity_dimension",
     "incremental_append",
     "keep_one",
+    "ledger",
     "left_join_children",
+    "load_once",
     "map_columns",
     "metrics_row",
     "new_rows",
     "orphans",
+    "read_loads",
     "require_columns",
     "require_non_empty",
     "row_count",

@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from asterloom.functions import named
-from asterloom.sinks.writers import append_rows, by_key, create_if_absent
-from asterloom.sources.readers import read_target
+from asterloom.sinks.writers import (
+    append_rows,
+    by_key,
+    create_if_absent,
+    overwrite_single_file,
+    overwrite_table,
+)
+from asterloom.sources.readers import read_if_present, read_target
 
 # Keys of a batch up to this size are sent to all executors.
 BROADCAST_KEY_BYTES = 64 * 1024 * 1024
@@ -28,6 +35,10 @@ BROADCAST_TARGET_RATIO = 4
 # where both bounds are valid UTF-8: other bytes do not survive the way through Python.
 _RANGE_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType)
 
+# Folders of a target that is loaded with a ledger.
+_ROWS, _LEDGER = "rows", "ledger"
+_LEDGER_SCHEMA = "load_id string, loaded bigint, skipped bigint"
+
 
 class LoadResult(NamedTuple):
     loaded: int
@@ -150,7 +161,19 @@ def incremental_append(
         target_rows = existing.count() if keys else 0
     if not target_rows:
         return LoadResult(append_rows(by_key(batch, keys) if keys else batch, target), 0)
+    fresh, rows = _fresh(batch, existing, keys, target_rows, broadcast_key_bytes)
+    loaded = append_rows(by_key(fresh, keys), target)
+    return LoadResult(loaded, rows - loaded)
+
 
+def _fresh(
+    batch: DataFrame,
+    existing: DataFrame,
+    keys: Sequence[str],
+    target_rows: int,
+    broadcast_key_bytes: int,
+) -> tuple[DataFrame, int]:
+    """The batch's rows with keys new to the target, and how many rows the batch has."""
     key_bytes = sum(
         (F.coalesce(F.octet_length(named(k).cast("string")), F.lit(0)) for k in keys),
         F.lit(_ROW_OVERHEAD),
@@ -167,5 +190,58 @@ def incremental_append(
         size["key_bytes"] <= broadcast_key_bytes
         and size["rows"] * BROADCAST_TARGET_RATIO <= target_rows
     )
-    loaded = append_rows(by_key(new_rows(batch, existing, keys, small), keys), target)
-    return LoadResult(loaded, size["rows"] - loaded)
+    return new_rows(batch, existing, keys, small), size["rows"]
+
+
+def load_once(
+    batch: DataFrame,
+    target: str,
+    load_id: str,
+    keys: Sequence[str] = (),
+    broadcast_key_bytes: int = BROADCAST_KEY_BYTES,
+) -> LoadResult:
+    """``incremental_append`` that may be run again: each load counts once, however often it is tried.
+
+    ``target`` is a folder with a folder of rows for each load and a ledger. The rows are
+    written first, then the ledger's entry; ``read_loads`` and later loads see only loads that
+    have one. So a load that fails at any point leaves the table as it was; run again, it
+    replaces what it has written. A load that is in the ledger is not run again: its recorded
+    result is returned, and its batch is not looked at.
+
+    Rows of a load are compared with all other loads by key, as ``incremental_append`` does; without
+    a key all of them are loaded. One writer at a time, as there.
+    """
+    if not re.fullmatch(r"[A-Za-z0-9._-]+", load_id):
+        raise ValueError(f"a load id has letters, digits, '.', '_' and '-', not {load_id!r}")
+    spark = batch.sparkSession
+    done = {r.load_id: LoadResult(r.loaded, r.skipped) for r in ledger(spark, target).collect()}
+    if load_id in done:
+        return done[load_id]
+    spelled = {c.lower(): c for c in batch.columns}
+    keys = [spelled[k.lower()] for k in keys]
+    existing, target_rows = read_loads(spark, target), sum(r.loaded for r in done.values())
+    fresh, rows = batch, None
+    if existing is not None:
+        batch = fresh = _aligned(batch, existing)
+        # The batch takes the target's spelling.
+        spelled = {c.lower(): c for c in batch.columns}
+        keys = [spelled[k.lower()] for k in keys]
+        if keys and target_rows:
+            fresh, rows = _fresh(batch, existing, keys, target_rows, broadcast_key_bytes)
+    loaded = overwrite_table(by_key(fresh, keys) if keys else fresh, f"{target}/{_ROWS}/load_id={load_id}")
+    result = LoadResult(loaded, 0 if rows is None else rows - loaded)
+    entry = spark.createDataFrame([(load_id, *result)], _LEDGER_SCHEMA)
+    overwrite_single_file(entry, f"{target}/{_LEDGER}/{load_id}")
+    return result
+
+
+def ledger(spark: SparkSession, target: str) -> DataFrame:
+    """``(load_id, loaded, skipped)`` of the finished loads: one row each."""
+    found = read_if_present(spark, f"{target}/{_LEDGER}/*")
+    return spark.createDataFrame([], _LEDGER_SCHEMA) if found is None else found
+
+
+def read_loads(spark: SparkSession, target: str) -> DataFrame | None:
+    """The rows of all finished loads, None before the first one. Folders of other loads are not read."""
+    done = [r.load_id for r in ledger(spark, target).collect()]
+    return spark.read.parquet(*[f"{target}/{_ROWS}/load_id={i}" for i in sorted(done)]) if done else None

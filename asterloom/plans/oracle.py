@@ -195,6 +195,11 @@ _BODIES = {
         "SELECT * REPLACE (popularity / 2 AS popularity) FROM history"
         " UNION ALL SELECT * FROM fresh"
     ),
+    "load_retried": (
+        "SELECT * REPLACE (popularity / 2 AS popularity) FROM history"
+        " UNION ALL SELECT * FROM fresh"
+    ),
+    "replaced_table": "SELECT * FROM history",
     "append_second_shuffled": (
         "SELECT * REPLACE (popularity / 2 AS popularity) FROM held UNION ALL SELECT * FROM day_fresh"
     ),

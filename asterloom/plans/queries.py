@@ -18,9 +18,11 @@ from asterloom.operators import (
     incremental_append,
     keep_one,
     left_join_children,
+    load_once,
     metrics_row,
     new_rows,
     orphans,
+    read_loads,
     require_columns,
     split_array,
     static_dimension,
@@ -55,6 +57,7 @@ from asterloom.sinks import (
     new_scratch_dir,
     overwrite_single_file,
     overwrite_table,
+    replace_safely,
     write_records,
 )
 from asterloom.sources import (
@@ -65,6 +68,7 @@ from asterloom.sources import (
     read_array_records,
     read_pages,
     read_records,
+    read_replaceable,
     read_table,
     target_keys,
 )
@@ -401,6 +405,18 @@ def append_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def load_retried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads, the first without a key, each tried twice: every row is there once."""
+    folder = new_scratch_dir(spark, "loads")
+    batch = _stored_fact(spark, sf_dir, folder)
+    old = _history(batch).withColumn("popularity", F.col("popularity") / 2)
+    for _ in range(2):
+        load_once(old, f"{folder}/target", "history")
+    for _ in range(2):
+        load_once(batch, f"{folder}/target", "all", FACT_KEYS)
+    return read_loads(spark, f"{folder}/target")
+
+
 # --- quality, round trips, whole runs -----------------------------------------------
 
 
@@ -460,6 +476,14 @@ def parquet_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(read_table(spark, folder))
 
 
+def replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table replaced twice, the second time by rows that are read from it."""
+    folder = new_scratch_dir(spark, "replaced")
+    replace_safely(_fact(spark, sf_dir), folder)
+    replace_safely(_history(read_replaceable(spark, folder)), folder)
+    return read_replaceable(spark, folder)
+
+
 def single_file_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_scratch_dir(spark, "single")
     overwrite_single_file(dim_date(spark, sf_dir), folder)
@@ -614,11 +638,13 @@ QUERIES: dict[str, Query] = {
     "append_none_new": append_none_new,
     "append_keyless": append_keyless,
     "append_counts": append_counts,
+    "load_retried": load_retried,
     "quality_counts": quality_counts,
     "json_array_scan": json_array_scan,
     "json_array_ranges": json_array_ranges,
     "json_round_trip": json_round_trip,
     "parquet_round_trip": parquet_round_trip,
+    "replaced_table": replaced_table,
     "single_file_round_trip": single_file_round_trip,
     "star_pipeline": pipeline,
     "star_pipeline_flat": pipeline_flat,

@@ -7,6 +7,7 @@ from asterloom.sinks.writers import (
     create_if_absent,
     overwrite_single_file,
     overwrite_table,
+    replace_safely,
     write_observed,
     write_records,
     write_table,
@@ -19,6 +20,7 @@ __all__ = [
     "new_scratch_dir",
     "overwrite_single_file",
     "overwrite_table",
+    "replace_safely",
     "write_observed",
     "write_records",
     "write_table",

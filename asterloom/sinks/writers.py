@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from asterloom.functions import named
-from asterloom.sources.readers import is_path
+from asterloom.sources.readers import SWITCHES, current_version, is_path, version_path
 
 
 def write_observed(
@@ -54,6 +54,25 @@ def overwrite_single_file(df: DataFrame, path: str) -> int:
     return overwrite_table(df.repartition(1), path)
 
 
+def replace_safely(
+    df: DataFrame, path: str, write: Callable[[DataFrame, str], int] = overwrite_table
+) -> int:
+    """Replace a table so that readers have the old one until the new one is whole.
+
+    The new version is written beside the current one, by any of the writers above, and then its number is
+    added to the table's switches: that is one file, which is there or not. ``read_replaceable`` reads the
+    newest version that has one. A writer that fails leaves the old version, and what it wrote is
+    replaced by the next one. Two folders take turns, so ``df`` may be read from the current version,
+    and a reader that began before one switch can end before the next. One writer at a time.
+    """
+    spark = df.sparkSession
+    version = current_version(spark, path) + 1
+    rows = write(df, version_path(path, version))
+    switch = spark.createDataFrame([(version,)], "version bigint")
+    switch.coalesce(1).write.mode("append").parquet(f"{path}/{SWITCHES}")
+    return rows
+
+
 def _save(df: DataFrame, target: str, mode: str) -> None:
     writer = df.write.mode(mode).format("parquet").option("compression", "snappy")
     if is_path(target):

@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 from asterloom.functions import named
 
 CORRUPT_COLUMN = "_corrupt_record"
+# The folder of a replaceable table in which each finished version leaves its number.
+SWITCHES = "switches"
 
 
 def read_records(
@@ -129,6 +131,35 @@ def read_target(spark: SparkSession, target: str) -> DataFrame | None:
         raise
 
 
+def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet files at a path, None if there is no such folder or no file in it."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def current_version(spark: SparkSession, path: str) -> int:
+    """The number of a replaceable table's newest version, 0 before the first one."""
+    switches = read_if_present(spark, f"{path}/{SWITCHES}")
+    return 0 if switches is None else switches.agg(F.max("version")).first()[0]
+
+
+def version_path(path: str, version: int) -> str:
+    """Where a version is: two folders take turns."""
+    return f"{path}/slot={version % 2}"
+
+
+def read_replaceable(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of a table that ``replace_safely`` has written."""
+    version = current_version(spark, path)
+    if version == 0:
+        raise ValueError(f"no version of {path!r} was finished yet")
+    return spark.read.parquet(version_path(path, version))
+
+
 def target_keys(spark: SparkSession, target: str, keys: Sequence[str]) -> DataFrame:
     """Keys already in the target; the scan reads the key columns only."""
     table = read_target(spark, target)
