@@ -34,6 +34,23 @@ def test_language_id_rejects_texts_without_letters(spark):
     assert texts(out) == sorted(expected, key=str)
 
 
+def test_language_id_rejects_other_languages(spark, monkeypatch):
+    """Texts of another language than their label go, and texts of two; null labels contradict nothing."""
+    import random
+
+    rng = random.Random(2)
+    words = {"en": "the of and to in that was his with for".split(), "de": "der die und nicht über für schön wenn auch ein".split()}
+    text = lambda lang, n=60: " ".join(rng.choice(words[lang]) for _ in range(n))
+    schema = documents(spark, []).schema
+    rows = [(i, text(lang), lang, None, 0) for i, lang in enumerate(["en", "de"] * 60)]
+    odd = [(1000, text("de"), "en", None, 0), (1001, text("en"), "de", None, 0), (1002, text("de"), "xx", None, 0)]
+    odd += [(1003, text("de"), None, None, 0), (1004, "12 34", "en", None, 0)]
+    docs = spark.createDataFrame(rows + odd, schema)
+    assert sorted(r.doc_id for r in c.language_id(spark, docs, "").collect()) == [*range(120), 1003]
+    monkeypatch.setattr(c, "WANTED", frozenset(["de"]))
+    assert sorted(r.doc_id for r in c.language_id(spark, docs, "").collect()) == [*range(1, 120, 2), 1003]
+
+
 def test_one_of_each_near_group_stays(spark):
     docs = documents(spark, ROWS, ["fingerprint", "root", "place"])
     out = c.simhash_near_dedup(spark, docs, "")
