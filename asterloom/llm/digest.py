@@ -132,6 +132,8 @@ def compare(pairs: DataFrame, a: str, b: str, name: str = "likeness") -> DataFra
 
 #: Quantiles of the keys that bound the blocks; between them blocks are of equal key ranges.
 QUANTILES = 500
+#: Blocks that a task has, about, at most.
+TASK_BLOCKS = 4
 
 
 def _block(key: Column, bounds: list[int], parts: int) -> Column:
@@ -176,7 +178,8 @@ def in_blocks(docs: DataFrame, key: str, text: str, blocks: int) -> DataFrame:
     ends = heads.select("block", F.lag("block").over(order).alias("before"), F.max("block").over(Window.partitionBy()).alias("last"))
     guests = heads.join(ends, "block").select(F.coalesce("before", "last").alias("block"), F.lit(True).alias("guest"), "key", "text")
     whole = placed.select("block", F.lit(False).alias("guest"), "key", "text").unionByName(guests)
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A few blocks a task, however many there are.
+    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-blocks // TASK_BLOCKS))
     some, text_or_empty = F.col("key").isNotNull(), F.coalesce("text", F.lit(""))
     return whole.repartition(n, "block").sortWithinPartitions("block", "guest", some, "key", text_or_empty)
 
