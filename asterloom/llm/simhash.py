@@ -131,8 +131,12 @@ def links(distinct: DataFrame, radius: int = RADIUS, blocks: int = 4, tile: int
     other = tiles.select(F.explode(steps).alias("step"), "populations", F.col("part").alias("other_part"), F.col("prints").alias("other"))
     met = F.zip_with("populations", "step", lambda p, d: (p + d).cast("int")).alias("populations")
     same = F.aggregate("step", F.lit(0), lambda s, d: s + F.abs(d)) == 0
-    other = other.select(met, same.alias("same"), "other_part", "other")
-    pairs = tiles.join(other, "populations").filter(~F.col("same") | (F.col("part") <= F.col("other_part")))
+    other = other.select(met, same.alias("same"), "other_part", "other").join(F.broadcast(sizes), "populations")
+    # Each pair of parts is a row with a key of its own, so that the parts of a full tile are compared by many tasks.
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
+    other = other.select("populations", "same", "other_part", "other", part)
+    other = other.filter(~F.col("same") | (F.col("part") <= F.col("other_part")))
+    pairs = tiles.join(other, ["populations", "part"])
 
     def compare(batches):
         forest, found = Forest(), []
