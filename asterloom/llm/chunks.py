@@ -220,6 +220,40 @@ def cut(buckets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(buckets[order], np.arange(n + 1))
 
 
+def distinct_in_buckets(values: np.ndarray, at: np.ndarray, buckets: int, kind):
+    """The order of values by bucket and size; in that order, the distinct ones, their buckets and how often each comes."""
+    values = values.astype(kind)
+    order = np.argsort(values)
+    for digit in range(0, max(1, (buckets - 1).bit_length()), 16):
+        order = order[np.argsort((at[order] >> digit).astype(np.uint16), kind="stable")]
+    values, at = values[order], at[order]
+    new = np.ones(len(values), bool)
+    new[1:] = (values[1:] != values[:-1]) | (at[1:] != at[:-1])
+    return order, values[new], at[new], np.diff(np.flatnonzero(new), append=len(values))
+
+
+def slices(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The bytes of the values between neighbouring bounds."""
+    return binary_array(values.view(np.uint8), bounds * values.itemsize).cast(pa.binary())
+
+
+def joined(column, kind) -> tuple[np.ndarray, np.ndarray]:
+    """The values in all ``slices`` of a column, and where each slice begins and ends."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    data, bounds = k.flatten(column)
+    return np.ascontiguousarray(data).view(kind), bounds // np.dtype(kind).itemsize
+
+
+def packed_bits(bits: np.ndarray, bounds: np.ndarray, take: np.ndarray, valid: np.ndarray | None = None) -> pa.Array:
+    """Of the slices to take, the bits of each, from a byte of its own on; null where not valid."""
+    firsts, sizes = bounds[:-1][take], np.diff(bounds)[take]
+    ends = np.concatenate([[0], np.cumsum((sizes + 7) // 8)])
+    spread = np.zeros(8 * ends[-1], bool)
+    spread[k.ranges(8 * ends[:-1], sizes)] = bits[k.ranges(firsts, sizes)]
+    out = slices(np.packbits(spread), ends)
+    return out if valid is None else pa.compute.if_else(pa.array(valid[take]), out, None)
+
+
 def repeated(chunks: DataFrame, hashes: Callable, buckets: int, kind=np.uint64, crowd: int | None = None) -> DataFrame:
     """``(chunk, marks)``: which distinct hashes of each chunk stand in another chunk too.
 
@@ -232,38 +266,32 @@ def repeated(chunks: DataFrame, hashes: Callable, buckets: int, kind=np.uint64,
 
     def send(batches):
         for chunk, _, _ in each(batches):
-            values, at = hashes(chunk)
-            order, bounds = cut(at, buckets)
-            values = values[order].astype(kind)
-            columns = [[], [], [], []]
-            for b in np.flatnonzero(bounds[1:] > bounds[:-1]):
-                own = np.sort(values[bounds[b] : bounds[b + 1]])
-                once = k.distinct_sorted(own)
-                n = b""
-                if crowd is not None:
-                    n = np.diff(np.searchsorted(own, once), append=len(own)).clip(max=65535).astype(np.uint16).tobytes()
-                for column, value in zip(columns, (b, chunk.id, once.tobytes(), n)):
-                    column.append(value)
-            kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds)], ["bucket", "chunk", "hashes", "counts"])
+            _, values, at, n = distinct_in_buckets(*hashes(chunk), buckets, kind)
+            heads = np.flatnonzero(np.diff(at, prepend=-1))
+            ends = np.append(heads, len(values))
+            columns = [
+                pa.array(at[heads], pa.int32()),
+                pa.array(np.full(len(heads), chunk.id), pa.int64()),
+                slices(values, ends),
+                slices(n.clip(max=65535).astype(np.uint16), ends if crowd is not None else np.zeros_like(ends)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "chunk", "hashes", "counts"])
 
     def count(table: pa.Table) -> pa.Table:
-        blocks = [np.frombuffer(x.as_buffer(), kind) for x in table.column("hashes")]
-        again = k.twice_sorted(np.sort(np.concatenate(blocks)))
-        bits = [k.in_sorted(b, again) for b in blocks]
-        many = again[:0]
+        values, bounds = joined(table.column("hashes"), kind)
+        again = k.twice_sorted(np.sort(values))
+        own = k.in_sorted(values, again)
+        some = k.sums_between(own, bounds) > 0
+        out = table.select(["chunk", "bucket"]).filter(pa.array(some)).append_column("bits", packed_bits(own, bounds, some))
+        crowded = pa.nulls(len(out), pa.binary())
         if crowd is not None:
-            total = np.zeros(len(again), np.int64)
-            for block, own, n in zip(blocks, bits, table.column("counts")):
-                total[np.searchsorted(again, block[own])] += np.frombuffer(n.as_buffer(), np.uint16)[own]
-            many = again[total >= crowd]
-        keep = [i for i, b in enumerate(bits) if b.any()]
-        packed = lambda b: np.packbits(b).tobytes()
-        crowded = [packed(b) if len(many) and (b := k.in_sorted(blocks[i], many)).any() else None for i in keep]
-        table = table.select(["chunk", "bucket"]).take(pa.array(keep, pa.int64()))
-        table = table.append_column("bits", pa.array([packed(bits[i]) for i in keep], pa.binary()))
+            n = joined(table.column("counts"), np.uint16)[0]
+            total = np.bincount(np.searchsorted(again, values[own]), n[own], len(again))
+            many = k.in_sorted(values, again[total >= crowd])
+            if many.any():
+                crowded = packed_bits(many, bounds, some, k.sums_between(many, bounds) > 0)
         k.release_memory()
-        return table.append_column("crowded", pa.array(crowded, pa.binary()))
+        return out.append_column("crowded", crowded)
 
     blocks = chunks.mapInArrow(send, "bucket int, chunk long, hashes binary, counts binary")
     answers = blocks.groupBy("bucket").applyInArrow(count, "chunk long, bucket int, bits binary, crowded binary")
@@ -286,23 +314,17 @@ def is_crowded(values: np.ndarray, at: np.ndarray, buckets: int, marks, kind=np.
 
 
 def _marked(values, at, buckets, marks, kind, field: str, also_own: bool) -> np.ndarray:
-    answers = {}
-    if marks is not None and marks.is_valid:
-        answers = {m["bucket"]: m[field] for m in marks.as_py() if m[field] is not None}
-    if not answers and not also_own:
+    if not also_own and not (marks is not None and marks.is_valid and marks.values.field(field).null_count < len(marks.values)):
         return np.zeros(len(values), bool)
-    order, bounds = cut(at, buckets)
-    values = values[order].astype(kind)
-    found = np.zeros(len(values), bool)
-    for b in np.flatnonzero(bounds[1:] > bounds[:-1]):
-        own = values[bounds[b] : bounds[b + 1]]
-        ordered = np.sort(own)
-        again = k.twice_sorted(ordered) if also_own else ordered[:0]
-        if b in answers:
-            once = k.distinct_sorted(ordered)
-            bits = np.unpackbits(np.frombuffer(answers[b], np.uint8), count=len(once)).astype(bool)
-            again = np.sort(np.concatenate([again, once[bits]]))
-        found[bounds[b] : bounds[b + 1]] = k.in_sorted(own, again)
-    out = np.empty(len(values), bool)
-    out[order] = found
+    order, once, bucket, n = distinct_in_buckets(values, at, buckets, kind)
+    found = n > 1 if also_own else np.zeros(len(once), bool)
+    if marks is not None and marks.is_valid:
+        answers = marks.values.filter(marks.values.field(field).is_valid())
+        asked = answers.field("bucket").to_numpy().astype(bucket.dtype)
+        first = np.searchsorted(bucket, asked)
+        sizes = np.searchsorted(bucket, asked, "right") - first
+        data, bounds = joined(answers.field(field), np.uint8)
+        found[k.ranges(first, sizes)] |= np.unpackbits(data).astype(bool)[k.ranges(bounds[:-1] * 8, sizes)]
+    out = np.empty(len(order), bool)
+    out[order] = np.repeat(found, n)
     return out

@@ -24,6 +24,8 @@ SHARD_BYTES = 1_500_000
 #: Stretches around one gram from which its windows are dealt by their own content instead.
 CROWD = 200_000
 BLOCK = 1 << 17
+#: Bytes of messages that a chunk makes at a time; and bytes from which the text of one is compressed by itself.
+PIECE_BYTES, SQUEEZED_BYTES = 4 << 20, 512
 
 
 def words64(data: np.ndarray) -> np.ndarray:
@@ -288,38 +290,51 @@ def remove_earlier_strings(
     def send(batches):
         for chunk, batch, i in c.each(batches):
             own = Candidates(chunk, width, buckets, shards, batch.column("marks")[i], key_column)
+            lengths = own.n + width - 1
+            upto = np.concatenate([[0], np.cumsum(lengths)])
             full = np.flatnonzero(own.bounds[1:] > own.bounds[:-1])
-            columns = [[], [], [], [], []]
-            for s in full:
-                part = slice(own.bounds[s], own.bounds[s + 1])
-                lengths = own.n[part] + width - 1
-                data = chunk.data[k.ranges(own.starts[own.first[part]], lengths)]
-                for column, value in zip(columns, (s, chunk.id, c.squeeze(data), lengths.astype(np.int32).tobytes(), own.min_id[part].tobytes())):
-                    column.append(value)
-            if len(full):
-                kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds)], ["shard", "chunk", "text", "lengths", "ids"])
+            # Some messages at a time: those of a whole chunk can have many times its bytes.
+            piece = (upto[own.bounds[full + 1]] - 1) // PIECE_BYTES
+            for some in np.split(full, np.flatnonzero(np.diff(piece)) + 1) if len(full) else []:
+                ends = np.append(own.bounds[some], own.bounds[some[-1] + 1])
+                part = slice(ends[0], ends[-1])
+                data = chunk.data[k.ranges(own.starts[own.first[part]], lengths[part])]
+                ends_of_text = upto[ends] - upto[ends[0]]
+                sizes = np.diff(ends_of_text)
+                long = sizes >= SQUEEZED_BYTES
+                plain = np.concatenate([[0], np.cumsum(np.where(long, 0, sizes))])
+                squeezed = [c.squeeze(data[ends_of_text[j] : ends_of_text[j + 1]]) for j in np.flatnonzero(long)]
+                columns = [
+                    pa.array(some, pa.int32()),
+                    pa.array(np.full(len(some), chunk.id), pa.int64()),
+                    c.slices(data[np.repeat(~long, sizes)], plain),
+                    pa.array(squeezed, pa.binary()).take(pa.array(np.cumsum(long) - 1, mask=~long)),
+                    c.slices(lengths[part].astype(np.int32), ends - ends[0]),
+                    c.slices(own.min_id[part], ends - ends[0]),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["shard", "chunk", "text", "squeezed", "lengths", "ids"])
 
     def solve(table: pa.Table) -> pa.Table:
-        read = lambda name, kind: [np.frombuffer(x.as_buffer(), kind) for x in table.column(name)]
-        lengths = read("lengths", np.int32)
-        per_row = np.array([len(x) for x in lengths])
-        owner, offset, length, ids = first_documents(
-            np.concatenate([c.unsqueeze(x) for x in table.column("text")]), np.concatenate(lengths).astype(np.int64), np.concatenate(read("ids", np.int64)), width
-        )
-        before = np.cumsum(per_row) - per_row
+        lengths, before = c.joined(table.column("lengths"), np.int32)
+        lengths = lengths.astype(np.int64)
+        ids, _ = c.joined(table.column("ids"), np.int64)
+        ends = np.concatenate([[0], np.cumsum(lengths)])[before]
+        text = np.empty(ends[-1], np.uint8)
+        squeezed = table.column("squeezed").combine_chunks()
+        plain = squeezed.is_null().to_numpy(zero_copy_only=False)
+        text[k.ranges(ends[:-1][plain], np.diff(ends)[plain])] = c.joined(table.column("text"), np.uint8)[0]
+        for r in np.flatnonzero(~plain):
+            text[ends[r] : ends[r + 1]] = c.unsqueeze(squeezed[r])
+        owner, offset, length, smallest = first_documents(text, lengths, ids, width)
         row = np.searchsorted(before, owner, "right") - 1
-        bounds = np.searchsorted(row, np.arange(len(per_row) + 1))
+        bounds = np.searchsorted(row, np.arange(len(before)))
         some = np.flatnonzero(bounds[1:] > bounds[:-1])
-        parts = [slice(bounds[r], bounds[r + 1]) for r in some]
         out = table.select(["chunk", "shard"]).take(pa.array(some))
-        packed = pa.array(
-            [np.stack([owner[p] - before[r], offset[p], length[p], ids[p]]).astype(np.int64).tobytes() for r, p in zip(some, parts)], pa.binary()
-        )
+        found = np.stack([owner - before[row], offset, length, smallest], 1).astype(np.int64).ravel()
         k.release_memory()
-        return out.append_column("found", packed)
+        return out.append_column("found", c.slices(found, 4 * np.append(bounds[some], len(row))))
 
-    requests = marked.mapInArrow(send, "shard int, chunk long, text binary, lengths binary, ids binary")
+    requests = marked.mapInArrow(send, "shard int, chunk long, text binary, squeezed binary, lengths binary, ids binary")
     answers = c.stage(requests.groupBy("shard").applyInArrow(solve, "chunk long, shard int, found binary"), "suffixes", small=True)
     answers = answers.groupBy("chunk").agg(F.collect_list(F.struct("shard", "found")).alias("answers"))
 
@@ -328,9 +343,11 @@ def remove_earlier_strings(
         offsets = np.cumsum(own.n) - own.n
         smallest = np.repeat(own.min_id, own.n)
         answer = batch.column("answers")[i]
-        for x in answer.as_py() if answer.is_valid else []:
-            which, offset, length, ids = np.frombuffer(x["found"], np.int64).reshape(4, -1)
-            smallest[k.ranges(offsets[own.bounds[x["shard"]] + which] + offset, length)] = np.repeat(ids, length)
+        if answer.is_valid:
+            found, bounds = c.joined(answer.values.field("found"), np.int64)
+            which, offset, length, ids = found.reshape(-1, 4).T
+            which = which + np.repeat(own.bounds[answer.values.field("shard").to_numpy()], np.diff(bounds) // 4)
+            smallest[k.ranges(offsets[which] + offset, length)] = np.repeat(ids, length)
         at = k.ranges(own.starts, own.counts)
         hit = smallest[k.ranges(offsets[own.unique], own.counts)] < np.repeat(own.ids, own.counts)
         gone = k.covered(len(chunk.data), at[hit], width)
