@@ -12,12 +12,13 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from asterloom.llm import kernels as k
-from asterloom.llm.chunks import arrow_schema, by_position
+from asterloom.llm.chunks import arrow_schema, by_position, stage
 
 #: Labelled documents that are learned from, about; a sample by hashed id bounds the training.
 SAMPLE_DOCS = 10_000
@@ -27,8 +28,6 @@ BEGINNINGS = (4, 5, 6)
 #: deviations by which its count in the category must differ from chance.
 WORDS, LEAST_DOCS, DEVIATIONS = 600, 5, 6.0
 FOLDS = 3
-#: Buckets in which words are counted first.
-WORD_BUCKETS = 1 << 21
 RIDGE, ROUNDS = 1e-4, 200
 
 
@@ -138,50 +137,38 @@ def most_telling(hits: np.ndarray, frequency: np.ndarray, share: float, limit: i
 
 
 def _distinct_words(texts: pa.Array, step: int = 200):
-    """Slices of the texts: the first one's number, and pairs of text and word hash in order."""
+    """Slices of the texts: the first one's number, distinct word hashes in order, and where each text's begin."""
     for at in range(0, len(texts), step):
         hashes, bounds = document_words(texts.slice(at, step))
-        doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        n = len(bounds) - 1
+        doc = np.repeat(np.arange(n), np.diff(bounds))
         order = np.lexsort((hashes, doc))
         doc, hashes = doc[order], hashes[order]
         new = np.ones(len(doc), bool)
         new[1:] = (doc[1:] != doc[:-1]) | (hashes[1:] != hashes[:-1])
-        yield at, doc[new], hashes[new]
+        yield at, hashes[new], np.searchsorted(doc[new], np.arange(n + 1))
+
+
+def _digests(hashes: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    return [blake2b(hashes[a:b].tobytes(), digest_size=16).digest() for a, b in zip(bounds[:-1], bounds[1:])]
 
 
 def train(texts: pa.Array, labels: np.ndarray, categories: list[str]) -> Chain:
-    """A chain for the columns of ``labels`` (0 or 1), in their order.
+    """A chain for the columns of ``labels`` (0 or 1), in their order, from texts at hand.
 
     Of texts with the same set of words and the same labels only the first counts, or their common
-    labels would be learned by heart. Folds are dealt by position.
-
-    Words are first counted in hash buckets, then exactly for the buckets that tell something,
-    so that the words of all texts are never held at once.
+    labels would be learned by heart. ``learn`` does the same with texts in Spark.
     """
-    seen, keep = set(), np.zeros(len(texts), bool)
-    counts = np.zeros((labels.shape[1] + 1, WORD_BUCKETS), np.int32)
-    for at, doc, hashes in _distinct_words(texts):
-        bounds = np.searchsorted(doc, np.arange(doc[-1] + 2 if len(doc) else 1))
-        for i, (low, high) in enumerate(zip(bounds[:-1], bounds[1:])):
-            own = blake2b(hashes[low:high].tobytes(), digest_size=16).digest(), labels[at + i].tobytes()
-            keep[at + i] = own not in seen
-            seen.add(own)
-        used = keep[at + doc]
-        bucket = (hashes[used] % k.U(WORD_BUCKETS)).astype(np.int64)
-        counts[-1] += np.bincount(bucket, minlength=WORD_BUCKETS).astype(np.int32)
-        for j in range(labels.shape[1]):
-            counts[j] += np.bincount(bucket[labels[at + doc[used], j] > 0], minlength=WORD_BUCKETS).astype(np.int32)
-    place = np.cumsum(keep) - 1
-    labels = labels[keep]
-    telling = np.zeros(WORD_BUCKETS, bool)
-    for j, share in enumerate(labels.mean(axis=0)):
-        telling[most_telling(counts[j], counts[-1], share, 4 * WORDS)] = True
-    docs, words = [], []
-    for at, doc, hashes in _distinct_words(texts):
-        used = keep[at + doc] & telling[(hashes % k.U(WORD_BUCKETS)).astype(np.int64)]
-        docs.append(place[at + doc[used]])
-        words.append(hashes[used])
-    docs, words = np.concatenate([*docs, np.zeros(0, np.int64)]), np.concatenate([*words, np.zeros(0, k.U)])
+    seen, keep, docs, words = set(), [], [np.zeros(0, np.int64)], [np.zeros(0, k.U)]
+    for at, hashes, bounds in _distinct_words(texts):
+        for i, digest in enumerate(_digests(hashes, bounds)):
+            own = digest, labels[at + i].tobytes()
+            if own not in seen:
+                seen.add(own)
+                words.append(hashes[bounds[i] : bounds[i + 1]])
+                docs.append(np.full(len(words[-1]), len(keep)))
+                keep.append(at + i)
+    labels, docs, words = labels[keep], np.concatenate(docs), np.concatenate(words)
     everything = k.distinct_sorted(np.sort(words))
     at = np.searchsorted(everything, words)
     frequency = np.bincount(at, minlength=len(everything))
@@ -190,11 +177,14 @@ def train(texts: pa.Array, labels: np.ndarray, categories: list[str]) -> Chain:
         for j in range(labels.shape[1])
     ]
     chosen = np.unique(np.concatenate(chosen))
-    chain = Chain(categories, everything[chosen])
     known = np.isin(at, chosen)
-    docs, words = docs[known], np.searchsorted(chosen, at[known])
-    keep = np.flatnonzero(keep)
-    n, n_words = len(keep), len(chain.vocabulary)
+    return _chain(everything[chosen], labels, docs[known], np.searchsorted(chosen, at[known]), categories)
+
+
+def _chain(vocabulary: np.ndarray, labels: np.ndarray, docs: np.ndarray, words: np.ndarray, categories: list[str]) -> Chain:
+    """The models of the chain, from pairs of document and place in the vocabulary. Folds are dealt by position."""
+    chain = Chain(categories, vocabulary)
+    n, n_words = len(labels), len(vocabulary)
     fold = np.arange(n) % FOLDS
     earlier = np.zeros((n, 0))
     for j in range(len(categories)):
@@ -214,23 +204,88 @@ def train(texts: pa.Array, labels: np.ndarray, categories: list[str]) -> Chain:
     return chain
 
 
+def _word_sets(texts: DataFrame) -> DataFrame:
+    """The rows with the distinct word hashes of ``text``, and a digest of these, in its place."""
+    others = [f for f in texts.schema.fields if f.name != "text"]
+    schema = T.StructType([*others, T.StructField("digest", T.BinaryType()), T.StructField("words", T.ArrayType(T.LongType()))])
+    out = arrow_schema(schema.fields)
+
+    def run(batches):
+        for batch in batches:
+            rest = batch.select([f.name for f in others])
+            for at, hashes, bounds in _distinct_words(batch.column("text")):
+                sets = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64)))
+                columns = [*rest.slice(at, len(sets)).columns, pa.array(_digests(hashes, bounds), pa.binary()), sets]
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, out)], schema=out)
+
+    return texts.mapInArrow(run, schema)
+
+
+def _vocabulary(sample: DataFrame, truth: list[str]) -> np.ndarray:
+    """The words that ``most_telling`` takes for each category, counted in Spark; at most ``WORDS`` of each come back."""
+    shares = sample.agg(*[F.avg(t).alias(t) for t in truth]).first()
+    counts = sample.select(F.explode("words").alias("word"), *truth).groupBy("word")
+    counts = counts.agg(F.count(F.lit(1)).alias("n"), *[F.sum(t).alias(t) for t in truth]).filter(F.col("n") >= LEAST_DOCS)
+    counts = stage(counts, "word_counts", small=True)
+    chosen = []
+    for t in truth:
+        expected = F.col("n") * F.lit(shares[t])
+        far = F.abs(F.col(t) - expected) / F.sqrt(expected * F.lit(1 - shares[t]) + F.lit(1e-9))
+        unsigned = F.col("word").bitwiseXOR(F.lit(-(2**63)))
+        best = counts.filter(far >= DEVIATIONS).orderBy(far.desc(), unsigned).limit(WORDS)
+        chosen.append(best.select("word").toArrow().column(0).to_numpy().astype(np.int64))
+    return np.unique(np.concatenate(chosen).view(k.U))
+
+
+def _known_words(sample: DataFrame, truth: list[str], vocabulary: np.ndarray) -> DataFrame:
+    """``(key, truth..., places)``: where in the vocabulary the words of each document are."""
+    kept = ["key", *truth]
+    schema = T.StructType([*[sample.schema[c] for c in kept], T.StructField("places", T.ArrayType(T.IntegerType()))])
+    out = arrow_schema(schema.fields)
+
+    def run(batches):
+        for batch in batches:
+            sets = batch.column("words")
+            bounds = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(sets).to_numpy(zero_copy_only=False))]).astype(np.int64)
+            docs, places = word_presence(sets.flatten().to_numpy(zero_copy_only=False).view(k.U), bounds, vocabulary)
+            ends = np.searchsorted(docs, np.arange(len(batch) + 1))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(places, pa.int32()))
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip([*[batch.column(c) for c in kept], lists], out)], schema=out)
+
+    return sample.mapInArrow(run, schema)
+
+
 def learn(docs: DataFrame, labels: DataFrame, categories: dict[str, tuple[str, int]], key: str = "doc_id", text: str = "text", sample_docs: int = SAMPLE_DOCS) -> Chain | None:
     """A chain from a bounded sample of the labelled documents.
 
     ``categories`` gives for each category, in the order of the chain, the label column and the
-    value that means yes. About ``sample_docs`` rows are drawn by hashed key; rows with a null
-    label or text are not used. Without any: None.
+    value that means yes. About ``sample_docs`` keys are drawn by their hash; rows with a null
+    label or text are not used. Of rows with the same key one is learned from: the smallest labels, and the text with
+    the smallest digest of its words. Without any: None.
+
+    Texts stay in the executors. Words are counted in Spark; to the driver come ``WORDS`` words a category, and for each
+    drawn key its labels and the places of its words among these, however long the texts are.
     """
+    truth = [f"l{j}" for j in range(len(categories))]
     usable = labels.select(F.col(f"`{key}`").alias("key"), *[F.col(f"`{c}`").alias(f"l{j}") for j, (c, _) in enumerate(categories.values())]).dropna()
-    share = min(1.0, sample_docs / max(1, usable.count()))
-    drawn = usable.filter(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < share * 1_000_000)
+    keys = usable.groupBy("key").agg(F.min(F.struct(*truth)).alias("row"))
+    share = min(1.0, sample_docs / max(1, keys.count()))
+    drawn = keys.filter(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < share * 1_000_000)
+    drawn = drawn.select("key", *[(F.col(f"row.l{j}") == yes).cast("int").alias(f"l{j}") for j, (_, yes) in enumerate(categories.values())])
     texts = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).dropna()
-    rows = texts.join(drawn, "key").toArrow()
-    if len(rows) == 0:
+    # About ``sample_docs`` rows of a key and labels.
+    sets = _word_sets(texts.join(F.broadcast(drawn), "key"))
+    one = sets.groupBy("key").agg(F.min(F.struct("digest", *truth, "words")).alias("row")).select("key", "row.*")
+    one = one.groupBy("digest", *truth).agg(F.min(F.struct("key", "words")).alias("row")).select("row.*", *truth)
+    sample = stage(one, "labelled", small=True)
+    if not sample.take(1):
         return None
-    rows = rows.sort_by([(c, "ascending") for c in rows.column_names])
-    truth = np.column_stack([rows.column(f"l{j}").to_numpy() == yes for j, (_, yes) in enumerate(categories.values())])
-    return train(rows.column("text"), truth.astype(np.int64), list(categories))
+    vocabulary = _vocabulary(sample, truth)
+    rows = _known_words(sample, truth, vocabulary).toArrow().sort_by("key")
+    places = rows.column("places").combine_chunks()
+    at = np.repeat(np.arange(len(rows)), pa.compute.list_value_length(places).to_numpy(zero_copy_only=False))
+    known = places.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    return _chain(vocabulary, np.column_stack([rows.column(t).to_numpy() for t in truth]).astype(np.int64), at, known, list(categories))
 
 
 def classify(docs: DataFrame, chain: Chain | None, categories: list[str], text: str = "text") -> DataFrame:

@@ -82,6 +82,38 @@ def test_copies_count_once_per_label():
     assert (once.vocabulary == twice.vocabulary).all() and all((a.weights == b.weights).all() for a, b in zip(once.models, twice.models))
 
 
+def test_learning_in_spark_equals_learning_at_hand(spark):
+    """Words counted in Spark give the chain that all texts together give; keys that come again count once."""
+    texts, labels = made(600)
+    rows = [(i, x) for i, x in enumerate(texts)] + [(5, texts[5])] * 40 + [(7, None)]
+    docs = documents(spark, rows)
+    known = spark.createDataFrame([(i, int(1 - a), int(b)) for i, (a, b) in enumerate(labels)] * 2, LABEL)
+    chain = t.learn(docs, known, CATEGORIES)
+    plain = t.train(pa.array(texts), labels, list(CATEGORIES))
+    assert len(plain.vocabulary) > 0 and chain.vocabulary.tolist() == plain.vocabulary.tolist()
+    for a, b in zip(chain.models, plain.models):
+        assert np.allclose(a.weights, b.weights) and np.allclose(a.dense, b.dense) and np.isclose(a.base, b.base)
+    assert np.allclose(chain.thresholds, plain.thresholds)
+
+
+def test_chain_against_a_plain_one():
+    """Each model's sum is taken word by word, the later one with the earlier one's probability."""
+    texts, labels = made(400)
+    chain = t.train(pa.array(texts), labels, ["a", "b"])
+    place = {int(w): j for j, w in enumerate(chain.vocabulary)}
+    for text, found in zip(texts[:60], chain.probabilities(pa.array(texts[:60]))):
+        words = {text.lower() for text in text.split()}
+        parts = words | {w[:n] for w in words for n in t.BEGINNINGS if len(w) > n}
+        whole = {int(h) for w in words for h in t.document_words(pa.array([w]))[0]}
+        known = sorted(place[h] for h in whole if h in place)
+        assert len(whole) <= 2 * len(parts)
+        earlier = []
+        for model, p in zip(chain.models, found):
+            x = model.base + sum(model.weights[j] for j in known) + sum(d * e for d, e in zip(model.dense, earlier))
+            earlier.append(1 / (1 + np.exp(-x)))
+            assert abs(earlier[-1] - p) < 1e-9
+
+
 @pytest.mark.parametrize("value", [0, 1])
 def test_one_sided_labels(value):
     texts, labels = made(60)
