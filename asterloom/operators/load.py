@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from asterloom.functions import named
 from asterloom.sinks.writers import (
+    LOOKUP_TYPES,
     append_rows,
     by_key,
     create_if_absent,
@@ -30,10 +31,16 @@ _ROW_OVERHEAD = 64
 # batch. Below, shuffling its keys costs no more than shuffling the batch.
 BROADCAST_TARGET_RATIO = 4
 
-# Key types whose smallest and largest value can be fetched and compared safely. Dates
+# A batch with this many distinct keys at most names them to the target's scan. Each is one
+# value on the driver and in the plan. With more, most row groups have one or pass by chance.
+LOOKUP_KEYS = 2000
+# Keys that one condition of the scan names. Spark turns longer lists into a range.
+_LOOKUP_LIST = 10
+
+# Key types whose values can be fetched and compared safely. Dates
 # are left out: Spark's reach beyond the years that Python can hold. Text is used only
-# where both bounds are valid UTF-8: other bytes do not survive the way through Python.
-_RANGE_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType)
+# where what is fetched is valid UTF-8: other bytes do not survive the way through Python.
+_RANGE_TYPES = LOOKUP_TYPES
 
 # Folders of a target that is loaded with a ledger.
 _ROWS, _LEDGER = "rows", "ledger"
@@ -110,6 +117,27 @@ def _bounds(batch: DataFrame, key: str) -> Column:
     return bounds.alias(f"range_{key}")
 
 
+def _named_keys(batch: DataFrame, key: str) -> Column | None:
+    """A condition on the target that names the batch's values of ``key`` in lists which reach the scan.
+
+    None if there are more than ``LOOKUP_KEYS``, or text that is not UTF-8.
+    """
+    value, valid = named(key), F.lit(True)
+    if isinstance(batch.schema[key].dataType, T.StringType):
+        value, valid = F.make_valid_utf8(value), F.coalesce(F.is_valid_utf8(value), valid)
+    found = batch.select(named(key)).distinct().select(value.alias("value"), valid.alias("valid"))
+    found = found.limit(LOOKUP_KEYS + 1).collect()
+    if len(found) > LOOKUP_KEYS or not all(row.valid for row in found):
+        return None
+    values = sorted(row.value for row in found if row.value is not None)
+    lists = [values[i : i + _LOOKUP_LIST] for i in range(0, len(values), _LOOKUP_LIST)]
+    conditions = [named(key).isin(some) for some in lists]
+    # A search for nulls passes every Bloom filter, so it is left out where it can be.
+    if len(values) < len(found):
+        conditions.append(named(key).isNull())
+    return reduce(or_, conditions, F.lit(False))
+
+
 def _aligned(batch: DataFrame, target: DataFrame) -> DataFrame:
     """Batch columns in the target's order and spelling; names match case-insensitively."""
     mine = {f.name.lower(): f for f in batch.schema}
@@ -139,7 +167,9 @@ def incremental_append(
 
     What is appended is ordered by key and written in files of the size that adaptive
     execution aims at, so a small load leaves one file, and later loads skip the files
-    and row groups whose keys they do not have.
+    and row groups whose keys they do not have: by the range of the batch's keys and, if these are
+    ``LOOKUP_KEYS`` at most, by Bloom filters on the key columns, which also tell row groups
+    apart that all span the whole range.
 
     The target's keys are shuffled only if the batch's keys take more than
     ``broadcast_key_bytes`` or the target is hardly larger than the batch.
@@ -160,9 +190,9 @@ def incremental_append(
         # Parquet answers this from its footers.
         target_rows = existing.count() if keys else 0
     if not target_rows:
-        return LoadResult(append_rows(by_key(batch, keys) if keys else batch, target), 0)
+        return LoadResult(append_rows(by_key(batch, keys) if keys else batch, target, keys), 0)
     fresh, rows = _fresh(batch, existing, keys, target_rows, broadcast_key_bytes)
-    loaded = append_rows(by_key(fresh, keys), target)
+    loaded = append_rows(by_key(fresh, keys), target, keys)
     return LoadResult(loaded, rows - loaded)
 
 
@@ -183,6 +213,7 @@ def _fresh(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(key_bytes.cast("bigint")), F.lit(0)).alias("key_bytes"),
         *[_bounds(batch, k) for k in ranged],
+        *[F.approx_count_distinct(named(k)).alias(f"distinct_{k}") for k in ranged],
     ).first()
 
     existing = _within_range(existing, {k: size[f"range_{k}"] for k in ranged})
@@ -190,6 +221,11 @@ def _fresh(
         size["key_bytes"] <= broadcast_key_bytes
         and size["rows"] * BROADCAST_TARGET_RATIO <= target_rows
     )
+    few = [k for k in ranged if size[f"distinct_{k}"] <= LOOKUP_KEYS]
+    if small and few:
+        # The key with the most values tells the row groups apart best.
+        wanted = _named_keys(batch, max(few, key=lambda k: size[f"distinct_{k}"]))
+        existing = existing if wanted is None else existing.filter(wanted)
     return new_rows(batch, existing, keys, small), size["rows"]
 
 
@@ -228,7 +264,8 @@ def load_once(
         keys = [spelled[k.lower()] for k in keys]
         if keys and target_rows:
             fresh, rows = _fresh(batch, existing, keys, target_rows, broadcast_key_bytes)
-    loaded = overwrite_table(by_key(fresh, keys) if keys else fresh, f"{target}/{_ROWS}/load_id={load_id}")
+    fresh = by_key(fresh, keys) if keys else fresh
+    loaded = overwrite_table(fresh, f"{target}/{_ROWS}/load_id={load_id}", keys)
     result = LoadResult(loaded, 0 if rows is None else rows - loaded)
     entry = spark.createDataFrame([(load_id, *result)], _LEDGER_SCHEMA)
     overwrite_single_file(entry, f"{target}/{_LEDGER}/{load_id}")

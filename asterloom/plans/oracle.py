@@ -189,6 +189,18 @@ _BODIES = {
     "append_day": (
         "SELECT * REPLACE (popularity / 2 AS popularity) FROM held UNION ALL SELECT * FROM day_fresh"
     ),
+    "append_spread": f"""
+        , spread_held AS (
+          SELECT * FROM fact
+          WHERE date_id IS DISTINCT FROM DATE '{DAY_FROM}' OR vote_average < 5),
+        spread_keys AS MATERIALIZED (
+          SELECT DISTINCT movie_id, coalesce(genre_id, -1) AS genre, 1 AS found FROM spread_held)
+        SELECT * REPLACE (popularity / 2 AS popularity) FROM spread_held
+        UNION ALL
+        SELECT f.movie_id, f.genre_id, f.date_id, f.popularity, f.vote_average, f.vote_count
+        FROM fact f LEFT JOIN spread_keys k
+        ON f.movie_id = k.movie_id AND coalesce(f.genre_id, -1) = k.genre
+        WHERE f.date_id = DATE '{DAY_FROM}' AND k.found IS NULL""",
     "target_keys": "SELECT movie_id, genre_id FROM fact",
     "append_first": "SELECT * FROM fact",
     "append_second": (

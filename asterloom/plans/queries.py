@@ -340,6 +340,22 @@ def append_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _append_day(spark, sf_dir)
 
 
+def append_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day's rows, with ids from the whole range, for a target of two loads that span it, too.
+
+    The better films of the day are new to the target; what it holds is at half its popularity.
+    """
+    folder = new_scratch_dir(spark, "append")
+    fact = _stored_fact(spark, sf_dir, folder)
+    day = F.coalesce(F.col("date_id") == F.lit(DAY_FROM).cast("date"), F.lit(False))
+    held = fact.filter(~day | (F.col("vote_average") < 5))
+    held = held.withColumn("popularity", F.col("popularity") / 2)
+    for part in (_history(held), held):
+        incremental_append(part, f"{folder}/target", FACT_KEYS)
+    incremental_append(fact.filter(day), f"{folder}/target", FACT_KEYS)
+    return read_table(spark, f"{folder}/target")
+
+
 def target_keys_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_scratch_dir(spark, "target-keys")
     append_rows(_fact(spark, sf_dir), f"{folder}/target")
@@ -634,6 +650,7 @@ QUERIES: dict[str, Query] = {
     "append_first": append_first,
     "append_second": append_second,
     "append_day": append_day,
+    "append_spread": append_spread,
     "append_second_shuffled": append_second_shuffled,
     "append_none_new": append_none_new,
     "append_keyless": append_keyless,

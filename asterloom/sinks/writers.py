@@ -6,10 +6,22 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from asterloom.functions import named
 from asterloom.sources.readers import SWITCHES, current_version, is_path, version_path
 
+# Types of keys that are looked up by value, for which Parquet keeps Bloom filters.
+LOOKUP_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType)
+# A filter takes some 20 bits per distinct key of a row group, rounded up to a power of two, and
+# this many bytes at most. One key in 10,000 that a row group does not have passes its filter.
+BLOOM_OPTIONS = {
+    "parquet.bloom.filter.adaptive.enabled": "true",
+    "parquet.bloom.filter.candidates.number": "10",
+    "parquet.bloom.filter.max.bytes": str(8 * 1024 * 1024),
+    "parquet.bloom.filter.fpp": "0.0001",
+}
+
 
 def write_observed(
     df: DataFrame, write: Callable[[DataFrame], None], metrics: Mapping[str, Column] = {}
@@ -34,14 +46,26 @@ def write_records(df: DataFrame, path: str) -> int:
     return _counted(df, lambda d: d.write.mode("overwrite").json(path))
 
 
-def write_table(df: DataFrame, path: str) -> None:
+def _lookup_options(df: DataFrame, lookup: Sequence[str]) -> dict[str, str]:
+    """Writer options for Bloom filters on ``lookup``; columns of other types get none.
+
+    Parquet writes none for a column chunk that is stored by dictionary: there readers
+    look into the dictionary instead.
+    """
+    fields = [f for f in df.schema if f.name in lookup and isinstance(f.dataType, LOOKUP_TYPES)]
+    chosen = {f"parquet.bloom.filter.enabled#{f.name}": "true" for f in fields}
+    return BLOOM_OPTIONS | chosen if chosen else {}
+
+
+def write_table(df: DataFrame, path: str, lookup: Sequence[str] = ()) -> None:
     """Replace a Parquet table, without a count."""
-    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+    options = _lookup_options(df, lookup)
+    df.write.mode("overwrite").options(**options).option("compression", "snappy").parquet(path)
 
 
-def overwrite_table(df: DataFrame, path: str) -> int:
+def overwrite_table(df: DataFrame, path: str, lookup: Sequence[str] = ()) -> int:
     """Replace a Parquet table; as many files as the plan has partitions."""
-    return _counted(df, lambda d: write_table(d, path))
+    return _counted(df, lambda d: write_table(d, path, lookup))
 
 
 def overwrite_single_file(df: DataFrame, path: str) -> int:
@@ -73,8 +97,9 @@ def replace_safely(
     return rows
 
 
-def _save(df: DataFrame, target: str, mode: str) -> None:
+def _save(df: DataFrame, target: str, mode: str, lookup: Sequence[str] = ()) -> None:
     writer = df.write.mode(mode).format("parquet").option("compression", "snappy")
+    writer = writer.options(**_lookup_options(df, lookup))
     if is_path(target):
         writer.save(target)
     else:
@@ -92,6 +117,9 @@ def create_if_absent(df: DataFrame, target: str) -> None:
     _save(df.limit(0), target, "ignore")
 
 
-def append_rows(df: DataFrame, target: str) -> int:
-    """Append to a Parquet path or a catalog table; it is created if absent."""
-    return _counted(df, lambda d: _save(d, target, "append"))
+def append_rows(df: DataFrame, target: str, lookup: Sequence[str] = ()) -> int:
+    """Append to a Parquet path or a catalog table; it is created if absent.
+
+    Row groups get Bloom filters on the columns of ``lookup``.
+    """
+    return _counted(df, lambda d: _save(d, target, "append", lookup))
