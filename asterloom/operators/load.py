@@ -34,8 +34,10 @@ BROADCAST_TARGET_RATIO = 4
 # A batch with this many distinct keys at most names them to the target's scan. Each is one
 # value on the driver and in the plan. With more, most row groups have one or pass by chance.
 LOOKUP_KEYS = 2000
-# Keys that one condition of the scan names. Spark turns longer lists into a range.
-_LOOKUP_LIST = 10
+# Lists that name them, at most: each goes through a row group's dictionary anew. How many keys
+# a list has is the session's setting below; Spark turns longer lists into a range.
+LOOKUP_LISTS = 8
+_LIST_SETTING = "spark.sql.parquet.pushdown.inFilterThreshold"
 
 # Key types whose values can be fetched and compared safely. Dates
 # are left out: Spark's reach beyond the years that Python can hold. Text is used only
@@ -117,20 +119,27 @@ def _bounds(batch: DataFrame, key: str) -> Column:
     return bounds.alias(f"range_{key}")
 
 
+def _lookup_list(batch: DataFrame) -> tuple[int, int]:
+    """How many keys a list may have, and how many of them can be named in all."""
+    length = int(batch.sparkSession.conf.get(_LIST_SETTING))
+    return length, min(LOOKUP_KEYS, LOOKUP_LISTS * length)
+
+
 def _named_keys(batch: DataFrame, key: str) -> Column | None:
     """A condition on the target that names the batch's values of ``key`` in lists which reach the scan.
 
-    None if there are more than ``LOOKUP_KEYS``, or text that is not UTF-8.
+    None if there are more than can be named, or text that is not UTF-8.
     """
+    length, most = _lookup_list(batch)
     value, valid = named(key), F.lit(True)
     if isinstance(batch.schema[key].dataType, T.StringType):
         value, valid = F.make_valid_utf8(value), F.coalesce(F.is_valid_utf8(value), valid)
     found = batch.select(named(key)).distinct().select(value.alias("value"), valid.alias("valid"))
-    found = found.limit(LOOKUP_KEYS + 1).collect()
-    if len(found) > LOOKUP_KEYS or not all(row.valid for row in found):
+    found = found.limit(most + 1).collect()
+    if len(found) > most or not all(row.valid for row in found):
         return None
     values = sorted(row.value for row in found if row.value is not None)
-    lists = [values[i : i + _LOOKUP_LIST] for i in range(0, len(values), _LOOKUP_LIST)]
+    lists = [values[i : i + length] for i in range(0, len(values), max(1, length))]
     conditions = [named(key).isin(some) for some in lists]
     # A search for nulls passes every Bloom filter, so it is left out where it can be.
     if len(values) < len(found):
@@ -168,8 +177,9 @@ def incremental_append(
     What is appended is ordered by key and written in files of the size that adaptive
     execution aims at, so a small load leaves one file, and later loads skip the files
     and row groups whose keys they do not have: by the range of the batch's keys and, if these are
-    ``LOOKUP_KEYS`` at most, by Bloom filters on the key columns, which also tell row groups
-    apart that all span the whole range.
+    few, by Bloom filters on the key columns, which also tell row groups apart that all span the
+    whole range. Few are ``LOOKUP_LISTS`` times ``spark.sql.parquet.pushdown.inFilterThreshold``
+    (80 unless set; ``conf/cluster.conf`` sets it), and ``LOOKUP_KEYS`` at most.
 
     The target's keys are shuffled only if the batch's keys take more than
     ``broadcast_key_bytes`` or the target is hardly larger than the batch.
@@ -221,7 +231,7 @@ def _fresh(
         size["key_bytes"] <= broadcast_key_bytes
         and size["rows"] * BROADCAST_TARGET_RATIO <= target_rows
     )
-    few = [k for k in ranged if size[f"distinct_{k}"] <= LOOKUP_KEYS]
+    few = [k for k in ranged if size[f"distinct_{k}"] <= _lookup_list(batch)[1]]
     if small and few:
         # The key with the most values tells the row groups apart best.
         wanted = _named_keys(batch, max(few, key=lambda k: size[f"distinct_{k}"]))

@@ -20,14 +20,17 @@ from asterloom.operators import (
     build_fact_from_arrays,
     clean,
     incremental_append,
+    load,
     new_rows,
     split_array,
 )
 from asterloom.plans import movies as m
 from asterloom.plans.testdata import movie_records
-from asterloom.sinks import new_scratch_dir, overwrite_table
+from asterloom.sinks import append_rows, new_scratch_dir, overwrite_table
 
 FACT_KEYS = m.TABLE_KEYS["fact_movie_metrics"]
+# Loads of the target that a batch of few keys is compared with.
+LOADS = 6
 
 
 def main() -> None:
@@ -40,6 +43,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", "64")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        .config("spark.sql.parquet.pushdown.inFilterThreshold", "2000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -104,8 +108,29 @@ def main() -> None:
     spread = fact.filter(F.pmod(F.xxhash64("movie_id"), F.lit(copies)) == 0)
     spread = stored("spread", spread.withColumn("movie_id", F.coalesce(other, "movie_id")))
     wide = timed("spread_load", lambda: incremental_append(spread, f"{folder}/fact", FACT_KEYS))
+    # Loads that all span the whole range of ids, and a batch of 300 films, half of them of one of these loads.
+    part = F.pmod(F.xxhash64("movie_id"), F.lit(LOADS))
+    slices = fact.withColumn("part", part).repartition(LOADS, "part").sortWithinPartitions("part", "movie_id")
+    slices = stored("slices", slices)
+    films = slices.filter("part = 3").select("movie_id").distinct().orderBy(F.xxhash64("movie_id", F.lit(1))).limit(300)
+    few = slices.filter("part = 3").drop("part").join(F.broadcast(films), "movie_id")
+    few = stored("few", few.withColumn("movie_id", F.coalesce(other, "movie_id")).repartition(1))
+    rows_read = {}
+    for name, lookup in (("plain", ()), ("bloom", ("movie_id",))):
+        for i in range(LOADS):
+            append_rows(slices.filter(F.col("part") == i).drop("part").coalesce(1), f"{folder}/few_{name}", lookup)
+        target = spark.read.parquet(f"{folder}/few_{name}").select("movie_id")
+        rows_read[f"{name}_rows"] = target.count()
+        rows_read[f"{name}_bytes"] = sum(
+            os.path.getsize(f.removeprefix("file://")) for f in spark.read.parquet(f"{folder}/few_{name}").inputFiles())
+        lookups = target.filter(load._named_keys(few, "movie_id"))
+        timed(f"few_scan_{name}", lookups.collect)
+        scan = lookups._jdf.queryExecution().executedPlan().collectLeaves().head()
+        rows_read[f"{name}_scanned"] = scan.metrics().apply("numOutputRows").value()
+        timed(f"few_load_{name}", lambda: incremental_append(few, f"{folder}/few_{name}", FACT_KEYS))
     spark.stop()
     print(json.dumps({
+        "few": rows_read,
         "copies": copies, "hot": hot, "seconds": seconds,
         "day": loaded._asdict(), "spread": wide._asdict(),
     }))

@@ -27,7 +27,10 @@ def numbers(spark, part, kind="bigint"):
 
 
 @pytest.mark.parametrize("kind", ["bigint", "string"])
-def test_row_groups_without_the_keys_are_skipped(spark, tmp_path, kind):
+def test_row_groups_without_the_keys_are_skipped(spark, with_conf, tmp_path, kind):
+    # At most eight lists of five keys: 41 are not named.
+    with_conf(spark__sql__parquet__pushdown__inFilterThreshold="5")
+    assert load._named_keys(numbers(spark, 3, kind).limit(41), "k") is None
     plain, filtered = f"{tmp_path}/plain", f"{tmp_path}/filtered"
     for part in range(LOADS):
         append_rows(numbers(spark, part, kind), plain)
