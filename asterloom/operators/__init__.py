@@ -5,6 +5,7 @@ from asterloom.operators.clean import (
     drop_column,
     keep_one,
     map_columns,
+    rejects,
     require_columns,
     split_array,
     trim_columns,
@@ -54,6 +55,7 @@ __all__ = [
     "new_rows",
     "orphans",
     "read_loads",
+    "rejects",
     "require_columns",
     "require_non_empty",
     "row_count",

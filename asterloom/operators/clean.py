@@ -88,6 +88,25 @@ def clean(
     return trim_columns(keep_one(complete, key, tie_break=tie_break), trim)
 
 
+def rejects(df: DataFrame, key: Sequence[str], required: Sequence[str]) -> DataFrame:
+    """What ``clean`` leaves out and why: the key, ``reason`` and ``n_rows``, which add up to its removed rows.
+
+    The reason is ``no <column>`` for the first of ``required`` that is null, in their order, and
+    ``copy`` for the complete rows of a key beyond the one that is kept. Null keys form one group,
+    as there. Rows are counted per key and reason in front of the one shuffle, so a hot key
+    costs what any other does. Keys named like an added column are an error.
+    """
+    if taken := {"reason", "n_rows"} & {k.lower() for k in key}:
+        raise ValueError(f"key columns named like added ones: {', '.join(sorted(taken))}")
+    missing = [F.when(named(c).isNull(), F.lit(f"no {c}")) for c in required]
+    reason = F.coalesce(*missing, F.lit("copy")).alias("reason")
+    keys = [named(k).alias(k) for k in key]
+    counted = df.select(*keys, reason).groupBy(*[named(k) for k in key], "reason")
+    kept = F.when(F.col("reason") == "copy", 1).otherwise(0)
+    left_out = counted.agg((F.count(F.lit(1)) - F.max(kept)).alias("n_rows"))
+    return left_out.filter("n_rows > 0")
+
+
 def split_array(
     df: DataFrame, key: str, array: str, parent_key: str, element: str
 ) -> tuple[DataFrame, DataFrame]:

@@ -228,6 +228,13 @@ _BODIES = {
         SELECT r.n AS raw_rows, c.n AS clean_rows, b.n AS bridge_rows, r.n - c.n AS removed_rows
         FROM (SELECT count(*) AS n FROM raw) r, (SELECT count(*) AS n FROM cleaned) c,
              (SELECT count(*) AS n FROM bridge) b""",
+    "rejected_records": """
+        SELECT id, 'no id' AS reason, count(*) AS n_rows FROM raw WHERE id IS NULL GROUP BY id
+        UNION ALL
+        SELECT id, 'no title', count(*) FROM raw WHERE id IS NOT NULL AND title IS NULL GROUP BY id
+        UNION ALL
+        SELECT id, 'copy', count(*) - 1 FROM raw WHERE id IS NOT NULL AND title IS NOT NULL
+        GROUP BY id HAVING count(*) > 1""",
     "json_array_scan": f"SELECT {_RECORD}, genres_text FROM raw",
     "json_array_ranges": (
         f"SELECT {_RECORD}, genres_text"

@@ -23,6 +23,7 @@ from asterloom.operators import (
     new_rows,
     orphans,
     read_loads,
+    rejects,
     require_columns,
     split_array,
     static_dimension,
@@ -451,6 +452,11 @@ def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("removed_rows", F.col("raw_rows") - F.col("clean_rows"))
 
 
+def rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What cleaning removes, by id and reason."""
+    return rejects(movie_records(spark, sf_dir, genres=False), [KEY], REQUIRED)
+
+
 def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_scratch_dir(spark, "json")
     write_records(movie_records(spark, sf_dir), folder)
@@ -657,6 +663,7 @@ QUERIES: dict[str, Query] = {
     "append_counts": append_counts,
     "load_retried": load_retried,
     "quality_counts": quality_counts,
+    "rejected_records": rejected_records,
     "json_array_scan": json_array_scan,
     "json_array_ranges": json_array_ranges,
     "json_round_trip": json_round_trip,

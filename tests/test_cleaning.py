@@ -11,6 +11,7 @@ from asterloom.operators import (
     keep_one,
     metrics_row,
     orphans,
+    rejects,
     require_columns,
     require_non_empty,
     row_count,
@@ -189,3 +190,24 @@ def test_guard(spark, raw):
     assert require_non_empty(raw) is raw
     with pytest.raises(ValueError, match="pages has no rows"):
         require_non_empty(raw.limit(0), "pages")
+
+
+def test_rejects_add_up_to_what_is_removed(spark, raw):
+    found = rejects(raw, [m.KEY], m.REQUIRED)
+    assert rows(found) == [(None, "no id", 2), (1, "no title", 1)]
+    copies = raw.union(raw).union(raw)
+    found = rejects(copies, [m.KEY], m.REQUIRED)
+    removed = copies.count() - clean(copies, [m.KEY], m.REQUIRED, m.TRIMMED).count()
+    assert found.agg(F.sum("n_rows")).first()[0] == removed
+    assert (1, "copy", 2) in rows(found) and (1, "no title", 3) in rows(found)
+    # Without the key among the required columns its nulls are a group, of which one row stays.
+    found = rejects(copies, [m.KEY], ["title"])
+    assert (None, "copy", 5) in rows(found)
+    assert rejects(raw.limit(0), [m.KEY], m.REQUIRED).count() == 0
+
+
+def test_rejects_name_the_first_missing_column(spark):
+    df = spark.createDataFrame([(1, None, None, "x"), (1, "a", None, "x")], "k int, `a.b` string, c string, reason string")
+    assert rows(rejects(df, ["k"], ["a.b", "c"])) == [(1, "no a.b", 1), (1, "no c", 1)]
+    with pytest.raises(ValueError):
+        rejects(df, ["k", "reason"], ["c"])
