@@ -132,7 +132,7 @@ def test_target_scan_is_cut_to_the_range_of_the_batch(spark, stored, tmp_path, m
     from asterloom.operators import load
 
     seen = []
-    monkeypatch.setattr(load, "append_rows", lambda df, _: seen.append(df) or 0)
+    monkeypatch.setattr(load, "append_rows", lambda df, *_: seen.append(df) or 0)
     target = str(tmp_path / "target")
     append_rows(stored["fact"].filter("movie_id % 20 <> 3"), target)
     incremental_append(stored["fact"].filter("movie_id between 40 and 90"), target, KEYS)
