@@ -26,8 +26,9 @@ def read_records(
 
     ``multiline=True`` reads files that each hold one JSON array (or one object) over
     several lines. Such a file is read by one task whatever its size, so the landing
-    sink writes one record per line instead; read that with ``multiline=False``, which
-    splits files freely. Without a schema Spark infers one with an extra pass.
+    sink writes one record per line instead, in files of bounded length; read that with
+    ``multiline=False``, which splits plain files freely and takes compressed ones whole.
+    Without a schema Spark infers one with an extra pass.
     """
     reader = spark.read.option("multiLine", multiline)
     if schema is not None:

@@ -9,6 +9,7 @@ from asterloom.sinks import (
     overwrite_single_file,
     overwrite_table,
     write_records,
+    writers,
 )
 from asterloom.sources import (
     concat_pages,
@@ -114,6 +115,20 @@ def test_json_landing_replaces_and_round_trips(spark, tmp_path):
     assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
 
 
+def test_landed_files_are_compressed_and_of_bounded_length(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "raw")
+    df = records(spark, *[dict(id=i, title=f"  film {i} ", genre_ids=[i % 7, 12]) for i in range(1000)]).coalesce(1)
+    df.write.json(f"{tmp_path}/plain")
+    size = lambda folder: sum(f.stat().st_size for f in (tmp_path / folder).glob("part-*"))
+    assert write_records(df, path) == 1000
+    assert 4 * size("raw") < size("plain")
+    monkeypatch.setattr(writers, "LANDED_RECORDS", 300)
+    assert write_records(df, path) == 1000
+    back = read_records(spark, path, m.RECORD_SCHEMA, multiline=False)
+    assert len(back.inputFiles()) == 4
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+
+
 def test_parquet_overwrite(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(100).repartition(4)
