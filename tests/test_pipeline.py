@@ -1,6 +1,7 @@
 import pytest
 
 from asterloom.plans import movies as m
+from asterloom.plans import queries
 from asterloom.plans.pipeline import Layout, parent_and_bridge, run_from_pages, run_pipeline
 from asterloom.sources import read_pages, read_table
 
@@ -36,6 +37,16 @@ def test_run_twice(spark, layout):
         assert read_table(spark, f"{layout.target}/{table}").count() == loaded
 
 
+def test_pipeline_counts_derives_its_records_once(spark, sf_dir, monkeypatch):
+    calls, derive = [], queries.movie_records
+    monkeypatch.setattr(queries, "movie_records", lambda *args: calls.append(args) or derive(*args))
+    counts = {(r.run, r.table_name): (r.loaded, r.skipped) for r in queries.pipeline_counts(spark, sf_dir).collect()}
+    assert len(calls) == 1
+    first, second = ([counts[run, table] for table in m.TABLE_KEYS] for run in (1, 2))
+    assert all(loaded and not skipped for loaded, skipped in first)
+    assert second == [(0, loaded) for loaded, _ in first]
+
+
 def test_next_day_adds_and_keeps(spark, layout):
     run_pipeline(records(spark, *EDGE_ROWS), layout, MODEL)
     news = [
