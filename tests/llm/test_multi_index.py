@@ -1,5 +1,7 @@
 """The inverted multi-index against a comparison of all pairs."""
 
+import time
+
 import numpy as np
 import pytest
 
@@ -55,6 +57,94 @@ def test_walk_is_in_order_and_complete():
         assert sizes.sum() < 5 or sizes.ravel()[part].sum() >= 5 and sizes.ravel()[part[:-1]].sum() < 5
 
 
+def test_selection_is_the_walk():
+    """With sums that are equal, of which the walk takes some only, and cells without entries."""
+    rng = np.random.default_rng(4)
+    for at in range(200):
+        a, b = rng.integers(0, 4, rng.integers(1, 30)) / 2.0, rng.integers(0, 4, rng.integers(1, 30)) / 2.0
+        a, b = (a, b) if at % 2 else (a + rng.random(len(a)), b + rng.random(len(b)))
+        sizes = rng.integers(0, 4, (len(a), len(b)))
+        for wanted in (1, 7, int(sizes.sum()) // 2 + 1, int(sizes.sum()) + 1):
+            expected = np.zeros(sizes.size, bool)
+            expected[m.walk(a, b, sizes.tolist(), wanted)] = True
+            assert (m.select(a, b, sizes.ravel(), wanted) == expected).all()
+
+
+def test_a_long_walk_takes_no_step_per_cell():
+    rng = np.random.default_rng(6)
+    distances, sizes = rng.random((12, 2, 256)), rng.integers(0, 9, (256, 256))
+    wanted, cells = int(sizes.sum()) // 3, sizes.tolist()
+    took = []
+    for way in (lambda a, b: m.select(a, b, sizes.ravel(), wanted), lambda a, b: m.walk(a, b, cells, wanted)):
+        began = time.process_time()
+        for a, b in distances:
+            way(a, b)
+        took.append(time.process_time() - began)
+    assert took[0] < took[1] / 3
+
+
+def test_blocks_travel_in_groups():
+    sizes = np.random.default_rng(8).integers(0, 30, 5000)
+    sizes[[7, 70]] = 90, 1000
+    blocks = m.Blocks.of(sizes, 20)
+    group = blocks.groups(5000)
+    cells = blocks.cells_by_group(group)
+    assert (np.diff(group) >= 0).all() and sorted(cells) == list(range(len(cells)))
+    assert len(cells) <= sizes.sum() / 5000 + 2
+    for cell in np.flatnonzero(sizes):
+        own = {int(group[blocks.first[cell] + part]) for part in range(blocks.parts[cell])}
+        assert own == {g for g, c in cells.items() if cell in c}
+
+
+def grouped(rng, n, cells, kind=np.float32, keys=None):
+    """A group of vectors in cells, in three pieces, and its rows: vector, cell and keys."""
+    vectors = rng.normal(size=(n, 6)).astype(kind)
+    vectors[n // 2 : n // 2 + n // 4] = vectors[0] * (1 + np.arange(n // 4)[:, None] % 5) + rng.normal(scale=1e-9, size=(n // 4, 6)).astype(kind)
+    where = rng.integers(0, len(cells), n)
+    ids = [[10 * i, 10 * i + 1][: 1 + i % 2] if keys is None else [int(rng.integers(keys))] for i in range(n)]
+    pieces = []
+    for some in np.array_split(rng.permutation(n), 3):
+        counts = np.array([len(ids[i]) for i in some], np.int32)
+        pieces.append((vectors[some], cells[where[some]].astype(np.int32), counts, np.array([x for i in some for x in ids[i]])))
+    return m.Group(pieces, cells), vectors, where, ids
+
+
+@pytest.mark.parametrize("kind, keys", [(np.float32, None), (np.float64, None), (np.float32, 40), (np.float32, 4)])
+def test_ranking_is_exact_within_the_cells_passed(monkeypatch, kind, keys):
+    """Many equal directions, vectors that single precision cannot tell apart, and keys with several vectors."""
+    monkeypatch.setattr(m, "LEAST_STRIP", 16)
+    monkeypatch.setattr(m, "STRIP", 50)
+    monkeypatch.setattr(m, "COMPARED", 700)
+    monkeypatch.setattr(m, "POOL", 3)
+    rng = np.random.default_rng(9)
+    group, vectors, where, ids = grouped(rng, 900, np.array([3, 5, 8, 9, 40]), kind, keys)
+    queries, own = np.concatenate([vectors[:20], vectors[450:470]]), np.array([ids[i][0] for i in [*range(20), *range(450, 470)]])
+    passed = rng.random((5, 40)) < 0.6
+    passed[:, 7] = False
+    found = {q: [] for q in range(40)}
+    for q, i, s in zip(*m.Ranking(queries, own, np.packbits(passed, axis=1), group, 5).run()):
+        found[q].append((s, i))
+    for q in range(40):
+        table, mine = m.scaled(vectors), m.scaled(queries)[q]
+        score = (table * mine).sum(axis=1) / (m.norms(table) * np.sqrt((mine * mine).sum()))
+        best = {}
+        for s, i in sorted((-s, i) for at, s in enumerate(score.tolist()) if passed[where[at], q] for i in ids[at]):
+            best.setdefault(i, -s)
+        best.pop(int(own[q]), None)
+        assert found[q] == [(s, i) for i, s in best.items()][:5]
+
+
+def test_only_entries_of_cells_passed_are_compared(monkeypatch):
+    compared = []
+    product = np.matmul
+    monkeypatch.setattr(np, "matmul", lambda a, b, **x: compared.append(len(a) * b.shape[1]) or product(a, b, **x))
+    rng = np.random.default_rng(10)
+    group, _, where, _ = grouped(rng, 20_000, np.arange(40))
+    passed = rng.random((40, 300)) < 0.05
+    m.Ranking(rng.normal(size=(300, 6)).astype(np.float32), np.full(300, -1), np.packbits(passed, axis=1), group, 5).run()
+    assert sum(compared) == (np.bincount(where, minlength=40) * passed.sum(axis=1)).sum()
+
+
 def test_blocks_hold_all_cells():
     sizes = np.array([3, 0, 5, 100, 1, 0, 9, 10, 11, 2])
     blocks = m.Blocks.of(sizes, 10)
