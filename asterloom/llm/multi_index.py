@@ -33,7 +33,7 @@ ITERATIONS = 12
 #: Entries of a block; a cell with more is cut into parts by a hash of the vector.
 BLOCK_ENTRIES = 4096
 #: Bytes of the vectors that one task holds, of neighbouring blocks, and the number of such groups that small tables are cut into, too.
-GROUP_BYTES, LEAST_GROUPS = 96 << 20, 24
+GROUP_BYTES, LEAST_GROUPS = 64 << 20, 24
 #: Bytes of vectors in a row at most, about.
 ROW_BYTES = 4 << 20
 #: Queries that travel together.
@@ -231,35 +231,44 @@ class Blocks:
 class Group:
     """The entries of neighbouring blocks in order of their cells, and the strips that are compared at a time.
 
-    ``pieces`` have the vectors, cells, numbers of keys and keys of some entries each, and are emptied;
-    a strip has its first and last entry and its first and last cell among ``cells``.
+    Rows of entries are added as they come, with the cell, the number of keys and the keys of each; ``close``
+    puts them in order. Room that is not used takes no memory. A strip has its first and last entry and its
+    first and last cell among ``cells``.
     """
 
-    def __init__(self, pieces: list[tuple[np.ndarray, ...]], cells: np.ndarray):
-        n, width = sum(len(p[0]) for p in pieces), pieces[0][0].shape[1]
-        where = np.searchsorted(cells, np.concatenate([p[1] for p in pieces]))
-        order = np.argsort(where, kind="stable")
-        place = np.empty(n, np.int64)
-        place[order] = np.arange(n)
-        self.where, counts = where[order], np.concatenate([p[2] for p in pieces]).astype(np.int64)
+    def __init__(self, cells: np.ndarray, dtype: np.dtype, width: int, room: int):
+        self.cells, self.vectors, self.n, self.pieces = cells, np.empty((room, width), dtype), 0, []
+
+    def add(self, vectors: np.ndarray, cell: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> None:
+        end = self.n + len(vectors)
+        if end > len(self.vectors):
+            more = np.empty((2 * end, vectors.shape[1]), vectors.dtype)
+            more[: self.n] = self.vectors[: self.n]
+            self.vectors = more
+        self.vectors[self.n : end] = vectors
+        self.n = end
+        self.pieces.append((np.searchsorted(self.cells, cell), counts.astype(np.int64), ids.copy()))
+
+    def close(self) -> Group:
+        where, counts, self.ids = map(np.concatenate, zip(*self.pieces))
+        self.pieces = []
+        #: The rows of the vectors in order of their cells; all that follows is in this order.
+        self.order = order = np.argsort(where, kind="stable")
         starts = np.cumsum(counts) - counts
-        self.counts, self.starts = counts[order], starts[order]
-        self.ids = np.concatenate([p[3] for p in pieces])
+        self.where, self.counts, self.starts = where[order], counts[order], starts[order]
         #: Which entries have a key that others have, too.
         _, key, times = np.unique(self.ids, return_inverse=True, return_counts=True)
         self.shared = np.logical_or.reduceat(times[key] > 1, starts)[order]
-        self.vectors, self.units, self.lengths = np.empty((n, width), pieces[0][0].dtype), np.empty((n, width), np.float32), np.empty(n)
-        while pieces:
-            vectors = pieces.pop()[0]
-            n -= len(vectors)
-            for at in range(0, len(vectors), 4096):
-                part = vectors[at : at + 4096]
-                to, exact = place[n + at : n + at + len(part)], scaled(part)
-                self.vectors[to], self.lengths[to] = part, norms(exact)
-                self.units[to] = exact / self.lengths[to][:, None]
+        width = self.vectors.shape[1]
+        self.units, self.lengths = np.empty((self.n, width), np.float32), np.empty(self.n)
+        for at in range(0, self.n, 4096):
+            exact = scaled(self.vectors[order[at : at + 4096]])
+            self.lengths[at : at + 4096] = length = norms(exact)
+            self.units[at : at + 4096] = exact / length[:, None]
         #: Twice what the approximate score of single precision is off at most, in sums of any order.
         self.slack = (width + 16) * 2.0**-23
         self.strips = list(self._strips())
+        return self
 
     def _strips(self) -> Iterator[tuple[int, int, int, int]]:
         ends = np.append(np.flatnonzero(np.diff(self.where)) + 1, len(self.where)).tolist()
@@ -365,7 +374,7 @@ class Ranking:
         exact = np.empty(len(query))
         for at in range(0, len(query), 4096):
             q, e = query[at : at + 4096], entry[at : at + 4096]
-            exact[at : at + 4096] = (scaled(group.vectors[e]) * self.mine[q]).sum(axis=1) / (group.lengths[e] * self.lengths[q])
+            exact[at : at + 4096] = (scaled(group.vectors[group.order[e]]) * self.mine[q]).sum(axis=1) / (group.lengths[e] * self.lengths[q])
         count = group.counts[entry]
         ids = group.ids[k.ranges(group.starts[entry], count)]
         query, score = np.repeat(query, count), np.repeat(exact, count)
@@ -414,7 +423,7 @@ def _clean(table: DataFrame, key: str, vector: str, every: int) -> tuple[DataFra
 
 
 def _matrix(column, dtype: np.dtype, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(-1, width)
+    return k.flatten(column)[0].view(dtype).reshape(-1, width)
 
 
 def _gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
@@ -486,7 +495,8 @@ def nearest_neighbours(
     # Rows of entries of each group.
     total = int(sizes.sum())
     held = width * dtype.itemsize  # bytes of a vector
-    group = blocks.groups(min(GROUP_BYTES // held, -(-total // LEAST_GROUPS)) + 1)
+    in_group = min(GROUP_BYTES // held, -(-total // LEAST_GROUPS)) + 1
+    group = blocks.groups(in_group)
     cells = blocks.cells_by_group(group)
     packed = "part int, kind int, vecs binary, ids binary, cells binary, counts binary"
     fields = [pa.field("part", pa.int32()), pa.field("kind", pa.int32()), *(pa.field(x, pa.binary()) for x in ("vecs", "ids", "cells", "counts"))]
@@ -550,18 +560,20 @@ def nearest_neighbours(
     met = dealt.unionByName(probes).repartitionById(len(cells), F.col("part")).sortWithinPartitions("part", "kind")
 
     def rank(batches):
-        at, pieces, own = None, [], None
+        at, own = None, None
         for batch in batches:
             for i in range(len(batch)):
                 part, kind = batch.column("part")[i].as_py(), batch.column("kind")[i].as_py()
                 vecs, ids, third, fourth = (batch.column(j)[i].as_buffer() for j in range(2, 6))
                 vectors, ids = np.frombuffer(vecs, dtype).reshape(-1, width), np.frombuffer(ids, np.int64)
                 if part != at:
-                    at, pieces, own = part, [], None
+                    at, own = part, None
+                    own = Group(cells[part], dtype, width, 2 * in_group)
                 if kind == 0:
-                    pieces.append((vectors, np.frombuffer(third, np.int32), np.frombuffer(fourth, np.int32), ids))
+                    own.add(vectors, np.frombuffer(third, np.int32), np.frombuffer(fourth, np.int32), ids)
                     continue
-                own = own or Group(pieces, cells[part])
+                if own.pieces:
+                    own.close()
                 masks, query = np.frombuffer(third, np.uint8).reshape(len(cells[part]), -1), np.frombuffer(fourth, np.int64)
                 asked, near, score = Ranking(vectors, ids, masks, own, neighbours).run()
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[asked], query[asked], near, score)], ["query_id", "query", "vec_id", "score"])

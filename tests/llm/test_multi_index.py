@@ -102,11 +102,11 @@ def grouped(rng, n, cells, kind=np.float32, keys=None):
     vectors[n // 2 : n // 2 + n // 4] = vectors[0] * (1 + np.arange(n // 4)[:, None] % 5) + rng.normal(scale=1e-9, size=(n // 4, 6)).astype(kind)
     where = rng.integers(0, len(cells), n)
     ids = [[10 * i, 10 * i + 1][: 1 + i % 2] if keys is None else [int(rng.integers(keys))] for i in range(n)]
-    pieces = []
+    group = m.Group(cells, np.dtype(kind), 6, n // 2)
     for some in np.array_split(rng.permutation(n), 3):
         counts = np.array([len(ids[i]) for i in some], np.int32)
-        pieces.append((vectors[some], cells[where[some]].astype(np.int32), counts, np.array([x for i in some for x in ids[i]])))
-    return m.Group(pieces, cells), vectors, where, ids
+        group.add(vectors[some], cells[where[some]].astype(np.int32), counts, np.array([x for i in some for x in ids[i]]))
+    return group.close(), vectors, where, ids
 
 
 @pytest.mark.parametrize("kind, keys", [(np.float32, None), (np.float64, None), (np.float32, 40), (np.float32, 4)])
