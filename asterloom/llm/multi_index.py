@@ -33,7 +33,7 @@ ITERATIONS = 12
 #: Entries of a block; a cell with more is cut into parts by a hash of the vector.
 BLOCK_ENTRIES = 4096
 #: Bytes of the vectors that one task holds, of neighbouring blocks, and the number of such groups that small tables are cut into, too.
-GROUP_BYTES, LEAST_GROUPS = 64 << 20, 24
+GROUP_BYTES, LEAST_GROUPS = 96 << 20, 24
 #: Bytes of vectors in a row at most, about.
 ROW_BYTES = 4 << 20
 #: Queries that travel together.
@@ -119,12 +119,13 @@ def select(first: np.ndarray, second: np.ndarray, sizes: np.ndarray, wanted: int
     """
     sums = (first[:, None] + second).ravel()
     low, high = sums.min(), sums.max()
-    at = ((sums - low) * (RANGES / (high - low) if high > low else 0)).astype(np.int32)
+    at = ((sums - low) * (RANGES / (high - low) if high > low else 0)).astype(np.intp)
     held = np.cumsum(np.bincount(at, sizes, RANGES + 1))
     last = int(np.searchsorted(held, wanted))
     passed = (at < last) & (sizes > 0)
     if last < len(held):
-        rest = np.flatnonzero((at == last) & (sizes > 0))
+        rest = np.flatnonzero(at == last)
+        rest = rest[sizes[rest] > 0]
         rows, columns = np.argsort(first, kind="stable").argsort(), np.argsort(second, kind="stable").argsort()
         i, j = rest // len(second), rest % len(second)
         rest = rest[np.lexsort((columns[j], rows[i], sums[rest]))]
@@ -285,7 +286,7 @@ def true_at(hits: np.ndarray) -> np.ndarray:
     """The positions of the few true values, eight looked at together."""
     flat = hits.ravel()
     whole = len(flat) // 8 * 8
-    words = np.flatnonzero(flat[:whole].view(np.uint64))
+    words = np.flatnonzero(flat[:whole].view(np.uint64) != 0)
     at = (words[:, None] * 8 + np.arange(8)).ravel()
     at = np.concatenate([at, np.arange(whole, len(flat))])
     return at[flat[at]]
@@ -331,7 +332,8 @@ class Ranking:
             return
         passed = None if one else np.unpackbits(bits, axis=1, count=len(self.own)).astype(bool)
         entries, size = self.group.units[first:last], last - first
-        for rows in np.array_split(some, -(-len(some) * size // COMPARED)):
+        parts = -(-len(some) * size // COMPARED)
+        for rows in np.array_split(some, parts) if parts > 1 else [some]:
             # In memory that stays: entries down, queries across.
             n, shape = len(rows), (size, len(rows))
             units = np.take(self.units, rows, axis=0, out=self.taken[:n], mode="clip")
@@ -529,6 +531,7 @@ def nearest_neighbours(
 
     def probe(batches):
         by_centroid = sizes.reshape(len(index.first), len(index.second)).tolist() if short else None
+        weights = sizes.astype(np.float64)
         for table in _gathered(batches, 4 * batch_size):
             parts = max(1, round(len(table) / batch_size))
             for some in np.array_split(np.arange(len(table)), parts):
@@ -542,7 +545,7 @@ def nearest_neighbours(
                         if short:
                             passed[i, walk(a[i], b[i], by_centroid, wanted)] = True
                         else:
-                            passed[i] = select(a[i], b[i], sizes, wanted)
+                            passed[i] = select(a[i], b[i], weights, wanted)
                     new = np.packbits(passed, axis=0).T
                     bits[:, at // 8 : at // 8 + new.shape[1]] = new
                 ids, query = batch.column("id").to_numpy(), batch.column("query").to_numpy()
