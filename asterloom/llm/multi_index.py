@@ -51,6 +51,7 @@ RANGES = 4096
 #: Entries passed at least.
 LEAST_ENTRIES = 1000
 
+
 def scaled(vectors: np.ndarray) -> np.ndarray:
     """Rows in double precision, each times a power of two, so that squares neither overflow nor vanish."""
     vectors = vectors.astype(np.float64)
